@@ -66,6 +66,20 @@ _ORDER_FACTS = """select o_custkey, count(*) as n_orders, min(o_orderdate) as fi
     sum(case when o_orderpriority = '1-URGENT' then 1 else 0 end) as urgent
   from orders group by o_custkey"""
 
+def _grid_cte(resolution: int, minimum: int) -> str:
+    return f"""select cell, subscriber_count, predicted_churners,
+    {r('a_prob', 4)} as avg_churn_probability, {r('a_rsrq', 2)} as avg_rsrq, {r('a_thr', 2)} as avg_throughput,
+    {r('a_chg', 2)} as avg_monthly_charges, {r('a_out', 1)} as avg_outage_minutes, {r('a_m2m', 3)} as pct_month_to_month,
+    {r('predicted_churners / cast(subscriber_count as double)', 4)} as predicted_churn_rate,
+    {r(r('a_chg', 2) + ' * predicted_churners', 2)} as estimated_revenue_at_risk
+  from (select {grid_sql('latitude', 'longitude', resolution)} as cell, count(*) as subscriber_count,
+      cast(sum(churn_predicted) as bigint) as predicted_churners,
+      {mean('churn_probability')} as a_prob, {mean('rsrq_avg')} as a_rsrq, {mean('dl_throughput_mbps')} as a_thr,
+      {mean('monthly_charges')} as a_chg, {mean('outage_minutes_monthly')} as a_out,
+      {mean("case when contract_type = 'month-to-month' then 1 else 0 end")} as a_m2m
+    from scored group by 1) where subscriber_count >= {minimum}"""
+
+
 _CTES: dict[str, str] = {
     "subscribers": f"""select b.*, case when (c_custkey*48271) % 1000 / 1e3 < churn_probability then 1 else 0 end as churned
   from (select a.*, round_even(1e4/(1e0+exp(-(-25e-1
@@ -147,23 +161,22 @@ _CTES: dict[str, str] = {
     "scored": f"""select *, cast(case when churn_probability >= 45e-2 then 1 else 0 end as int) as churn_predicted,
   {tier_sql('churn_probability')} as risk_tier,
   {r('monthly_charges * churn_probability', 2)} as revenue_at_risk from subscribers""",
-    "risk_grid": f"""select cell, subscriber_count, predicted_churners,
-    {r('a_prob', 4)} as avg_churn_probability, {r('a_rsrq', 2)} as avg_rsrq, {r('a_thr', 2)} as avg_throughput,
-    {r('a_chg', 2)} as avg_monthly_charges, {r('a_out', 1)} as avg_outage_minutes, {r('a_m2m', 3)} as pct_month_to_month,
-    {r('predicted_churners / cast(subscriber_count as double)', 4)} as predicted_churn_rate,
-    {r(r('a_chg', 2) + ' * predicted_churners', 2)} as estimated_revenue_at_risk
-  from (select {grid_sql('latitude', 'longitude', 4)} as cell, count(*) as subscriber_count,
-      cast(sum(churn_predicted) as bigint) as predicted_churners,
-      {mean('churn_probability')} as a_prob, {mean('rsrq_avg')} as a_rsrq, {mean('dl_throughput_mbps')} as a_thr,
-      {mean('monthly_charges')} as a_chg, {mean('outage_minutes_monthly')} as a_out,
-      {mean("case when contract_type = 'month-to-month' then 1 else 0 end")} as a_m2m
-    from scored group by 1) where subscriber_count >= 10""",
+    "faulty": """select * replace (
+    case when c_custkey % 11 = 0 then 'weekly' else contract_type end as contract_type,
+    case when c_custkey % 13 = 0 then -5 else tenure_months end as tenure_months,
+    case when c_custkey % 17 = 0 then 200e0 else latitude end as latitude,
+    case when c_custkey % 19 = 0 then null else monthly_charges end as monthly_charges,
+    case when c_custkey % 23 = 0 then 'SUB_0000000' else subscriber_id end as subscriber_id) from subscribers""",
+    "risk_grid": _grid_cte(4, 10),
+    "risk_grid_fine": _grid_cte(8, 1),
 }
 _NEEDS = {
     "feats0": ["subscribers"],
     "feats": ["subscribers", "feats0"],
     "scored": ["subscribers"],
+    "faulty": ["subscribers"],
     "risk_grid": ["subscribers", "scored"],
+    "risk_grid_fine": ["subscribers", "scored"],
 }
 
 

@@ -109,9 +109,9 @@ def risk_alerts(grid: DataFrame, cell: str, k: int = 50, tiers: Sequence[str] =
         F.count(F.lit(1)).alias("alert_zones"),
         money_sum("estimated_revenue_at_risk").alias("alert_revenue"),
     )
-    top = top_k(alerts, "estimated_revenue_at_risk", cell, k)
-    # One row on the right side, so this join is no product of two tables.
-    return top.join(F.broadcast(totals))
+    return top_k(alerts, "estimated_revenue_at_risk", cell, k).withColumns(
+        {c: totals.select(c).scalar() for c in ("alert_zones", "alert_revenue")}
+    )
 
 
 def tier_breakdown(df: DataFrame, tier: str, revenue: str) -> DataFrame:
@@ -172,18 +172,24 @@ def concentration(cells: DataFrame, rows: DataFrame, key: str, share: float = 0.
         .agg(F.coalesce(F.sum("n_churned"), F.lit(0)).alias("partial_churned"))
     )
     full_churned = full.agg(F.coalesce(F.sum("churned_at"), F.lit(0)).alias("full_churned"))
-    kept_cells = cells.agg(F.count(F.lit(1)).alias("n_cells"))
     total = rows.agg(F.sum(F.col(label).cast("bigint")).alias("total_churned"))
-    joined = kept_cells
-    for one_row in (full_churned, partial_churned, total):
-        joined = joined.join(F.broadcast(one_row))
     top = F.col("full_churned") + F.col("partial_churned")
-    return joined.select(
-        "n_cells",
-        F.floor(F.col("n_cells") * F.lit(share)).alias("top_cells"),
-        top.alias("top_churned"),
-        "total_churned",
-        np_round(top / (F.col("total_churned") + F.lit(1e-10)), 6).alias("concentration"),
+    return (
+        cells.agg(F.count(F.lit(1)).alias("n_cells"))
+        .withColumns(
+            {
+                "full_churned": full_churned.scalar(),
+                "partial_churned": partial_churned.scalar(),
+                "total_churned": total.scalar(),
+            }
+        )
+        .select(
+            "n_cells",
+            F.floor(F.col("n_cells") * F.lit(share)).alias("top_cells"),
+            top.alias("top_churned"),
+            "total_churned",
+            np_round(top / (F.col("total_churned") + F.lit(1e-10)), 6).alias("concentration"),
+        )
     )
 
 
