@@ -115,15 +115,10 @@ def _psi_sql(feature: str, source: str, is_reference: str) -> str:
 _HALVES = " union all ".join(_psi_sql(f, "subscribers", "c_custkey % 2 = 0") for f in drift.DRIFT_FEATURES)
 
 
-def _halves(spark, sf_dir):
-    rows = subscribers(spark, sf_dir, ["c_custkey", *drift.DRIFT_FEATURES])
-    even = F.col("c_custkey") % 2 == 0
-    return rows.filter(even), rows.filter(~even)
-
-
 @query("psi", _HALVES)
 def psi(spark, sf_dir):
-    return drift.psi(*_halves(spark, sf_dir))
+    rows = subscribers(spark, sf_dir, ["c_custkey", *drift.DRIFT_FEATURES])
+    return drift.psi_tagged(rows, F.col("c_custkey") % 2 == 0)
 
 
 @query("psi_usage", _psi_sql("value", "usage_events", "period = 'reference'"))
@@ -144,4 +139,4 @@ def drift_report(spark, sf_dir):
     """West against east: place drifts by construction, signal quality does not."""
     rows = subscribers(spark, sf_dir, ["longitude", "latitude", "rsrq_avg"])
     west = F.col("longitude") < 106.9
-    return drift.drift_report(drift.psi(rows.filter(west), rows.filter(~west), ["rsrq_avg", "latitude"]))
+    return drift.drift_report(drift.psi_tagged(rows, west, ["rsrq_avg", "latitude"]))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellrisk.functions.numeric import np_round
 from cellrisk.operators.quantiles import approximate_quantiles, quantiles_of_counts, value_counts_long
+from cellrisk.session import checkpointed
 
 # Features watched, alert level, number of bins and the guard against empty bins.
 DRIFT_FEATURES = ["data_usage_gb", "monthly_charges", "call_drops_monthly", "rsrp_avg"]
@@ -25,7 +26,7 @@ def _edges_of(counts: DataFrame, bins: int) -> DataFrame:
 def reference_edges(reference: DataFrame, features: Sequence[str], bins: int = PSI_BINS, exact: bool = True) -> DataFrame:
     """(name, edges): distinct quantile edges of each feature in the reference rows."""
     if exact:
-        return _edges_of(value_counts_long(reference, features), bins)
+        return _edges_of(checkpointed(value_counts_long(reference, features)), bins)
     sketched = approximate_quantiles(reference, features, [i / bins for i in range(bins + 1)])
     return sketched.select("name", F.array_distinct("q").alias("edges"))
 
@@ -49,30 +50,30 @@ def binned_counts(rows: DataFrame, features: Sequence[str], edges: DataFrame) ->
     return counts.groupBy("name", "bin").agg(F.sum("n").alias("n"))
 
 
-def psi_from_counts(edges: DataFrame, expected: DataFrame, actual: DataFrame, digits: int = 6) -> DataFrame:
-    """(feature, psi, n_reference, n_current). Rows outside the bins count in the denominators only."""
+def psi_from_counts(expected: DataFrame, actual: DataFrame, digits: int = 6) -> DataFrame:
+    """(feature, psi, n_reference, n_current) from two binned counts."""
     both = expected.withColumnRenamed("n", "_e").join(
         actual.withColumnRenamed("n", "_a"), ["name", "bin"], "full"
     )
-    return _psi(edges, both.na.fill(0, ["_e", "_a"]), digits)
+    return _psi(both.na.fill(0, ["_e", "_a"]), digits)
 
 
-def _psi(edges: DataFrame, both: DataFrame, digits: int) -> DataFrame:
-    """`both` has (name, bin, _e, _a). A bin that is empty on both sides adds nothing."""
-    totals = both.groupBy("name").agg(F.sum("_e").alias("_te"), F.sum("_a").alias("_ta"))
+def _psi(both: DataFrame, digits: int) -> DataFrame:
+    """`both` has (name, bin, _e, _a), a few rows per feature. A bin that is empty on both sides adds
+    nothing; rows outside the bins (bin 0) count in the denominators only."""
+    feature = Window.partitionBy("name")
+    totals = {"_te": F.sum("_e").over(feature), "_ta": F.sum("_a").over(feature)}
     eps = F.lit(EPS)
     e, a = F.col("_e") / (F.col("_te") + eps), F.col("_a") / (F.col("_ta") + eps)
     part = F.when(F.col("bin") > 0, (a - e) * F.ln((a + eps) / (e + eps))).otherwise(F.lit(0.0))
-    scores = (
-        both.join(totals, "name")
-        .groupBy("name")
-        .agg(F.sum(part).alias("psi"), F.first("_te").alias("_te"), F.first("_ta").alias("_ta"))
-    )
-    return edges.select("name").join(scores, "name", "left").select(
-        F.col("name").alias("feature"),
-        np_round(F.coalesce("psi", F.lit(0.0)), digits).alias("psi"),
-        F.coalesce("_te", F.lit(0)).alias("n_reference"),
-        F.coalesce("_ta", F.lit(0)).alias("n_current"),
+    return (
+        both.withColumns(totals)
+        .groupBy(F.col("name").alias("feature"))
+        .agg(
+            np_round(F.sum(part), digits).alias("psi"),
+            F.first("_te").alias("n_reference"),
+            F.first("_ta").alias("n_current"),
+        )
     )
 
 
@@ -84,18 +85,32 @@ def psi(
     exact: bool = True,
     digits: int = 6,
 ) -> DataFrame:
-    """One row per feature. The caller names two disjoint sets of rows.
-
-    Both sets are counted by value in one pass; edges and bins are then found on those counts.
-    """
+    """One row per feature. The caller names two disjoint sets of rows."""
     names = list(features)
     tagged = reference.select(*names, F.lit(1).alias("_ref")).unionByName(
         current.select(*names, F.lit(0).alias("_ref"))
     )
+    return psi_tagged(tagged, F.col("_ref") == 1, names, bins, exact, digits)
+
+
+def psi_tagged(
+    rows: DataFrame,
+    is_reference: Column,
+    features: Sequence[str] = DRIFT_FEATURES,
+    bins: int = PSI_BINS,
+    exact: bool = True,
+    digits: int = 6,
+) -> DataFrame:
+    """Same, for one table whose rows are reference or current by a condition.
+
+    All rows are counted by value in one pass; edges and bins are then found on those counts.
+    """
+    names = list(features)
+    tagged = rows.select(*names, is_reference.cast("int").alias("_ref")).filter(F.col("_ref").isNotNull())
     pairs = F.explode(
         F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in names])
     )
-    counts = (
+    counts = checkpointed(
         tagged.select("_ref", pairs.alias("p"))
         .select("_ref", "p.*")
         .filter(F.col("value").isNotNull())
@@ -106,9 +121,9 @@ def psi(
         known = counts.filter(F.col("_e") > 0).select("name", "value", F.col("_e").alias("n"))
         edges = _edges_of(known, bins)
     else:
-        edges = reference_edges(reference, names, bins, exact=False)
+        edges = reference_edges(tagged.filter(F.col("_ref") == 1), names, bins, exact=False)
     both = with_bins(counts, edges).groupBy("name", "bin").agg(F.sum("_e").alias("_e"), F.sum("_a").alias("_a"))
-    return _psi(edges, both, digits)
+    return _psi(both, digits)
 
 
 def drift_report(psi_rows: DataFrame, threshold: float = PSI_THRESHOLD) -> DataFrame:

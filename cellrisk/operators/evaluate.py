@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellrisk.functions.numeric import np_round
+from cellrisk.session import checkpointed
 
 SCORE_DIGITS = 4
 MAX_DIGITS = 6
@@ -313,7 +314,7 @@ def ranked_rows(
 
 def cumulative_gain(df: DataFrame, key: str, digits: int = 6, **columns) -> DataFrame:
     """Gain, share contacted and lift after every single row."""
-    ranked = ranked_rows(df, _offsets(score_steps(df, **columns)), key, **columns)
+    ranked = ranked_rows(df, checkpointed(_offsets(score_steps(df, **columns))), key, **columns)
     return _gains(ranked, F.col("rank"), digits, key, "rank")
 
 
@@ -337,7 +338,7 @@ def _gains(df: DataFrame, contacted: Column, digits: int, *keep: str) -> DataFra
 def gain_at_k(df: DataFrame, key: str, percents: Sequence[int] = (10, 20), digits: int = 6, **columns) -> DataFrame:
     """Share of positives in the top k percent of rows (row count rounded down), and the lift."""
     wanted = F.explode(F.array(*[F.lit(k) for k in percents])).alias("percent")
-    steps = _offsets(score_steps(df, **columns)).select("*", wanted)
+    steps = checkpointed(_offsets(score_steps(df, **columns))).select("*", wanted)
     steps = steps.withColumn("cut", F.floor(F.col("total_n") * F.col("percent") / 100))
     whole = steps.groupBy("percent", "cut", "total_n", "total_pos").agg(
         F.sum(F.when(F.col("cum_n") <= F.col("cut"), F.col("pos")).otherwise(0)).alias("whole_pos")
@@ -364,7 +365,7 @@ def contacts_for_recall(
 ) -> DataFrame:
     """Fewest rows, from the top, that hold the wanted percent of positives."""
     wanted = F.explode(F.array(*[F.lit(k) for k in percents])).alias("recall_pct")
-    steps = _offsets(score_steps(df, **columns)).select("*", wanted)
+    steps = checkpointed(_offsets(score_steps(df, **columns))).select("*", wanted)
     steps = steps.withColumn("goal", F.ceil(F.col("total_pos") * F.col("recall_pct") / 100))
     crossing = steps.filter((F.col("pos_before") < F.col("goal")) & (F.col("cum_pos") >= F.col("goal")))
     affected = crossing.drop("recall_pct", "goal").dropDuplicates(["step"])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cellrisk.functions.numeric import clip, money_sum, np_round, steady_mean
 from cellrisk.operators.quantiles import exact_quantiles, quantiles_of_counts, value_counts_long
+from cellrisk.session import checkpointed
 
 # Columns of the correlation matrix, the threshold for strongly correlated pairs,
 # and the whisker length of box statistics.
@@ -55,28 +56,33 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
     """count, mean, std, min, quartiles and max per numeric column."""
-    names = list(columns)
-    moments = df.agg(
-        *[
-            F.struct(
-                F.count(c).alias("count"),
-                np_round(F.avg(c), digits).alias("mean"),
-                np_round(F.stddev_samp(c), digits).alias("std"),
-                F.min(F.col(c).cast("double")).alias("min"),
-                F.max(F.col(c).cast("double")).alias("max"),
-            ).alias(c)
-            for c in names
-        ]
-    )
-    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("m")) for c in names]))
-    per_column = moments.select(rows.alias("r")).select("r.name", "r.m.*")
-    quartiles = exact_quantiles(df, names, [0.25, 0.5, 0.75])
-    return per_column.join(quartiles.drop("n"), "name", "left").select(
-        F.col("name").alias("column"),
-        "count", "mean", "std", "min",
-        *[np_round(F.col("q")[i], digits).alias(q) for i, q in enumerate(["q25", "q50", "q75"])],
-        "max",
-    )
+    counts = checkpointed(value_counts_long(df, list(columns)))
+    n, weighted = F.sum("n"), F.col("value") * F.col("n")
+    centre = counts.groupBy("name").agg(
+        n.alias("count"),
+        (F.sum(weighted) / n).alias("_mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    # One row per column.
+    off = F.col("value") - F.col("_mean")
+    squares = (
+        counts.join(F.broadcast(centre), "name").groupBy("name").agg(F.sum(off * off * F.col("n")).alias("_squares"))
+    )
+    quartiles = quantiles_of_counts(counts, [0.25, 0.5, 0.75]).drop("n")
+    return (
+        centre.join(squares, "name")
+        .join(quartiles, "name")
+        .select(
+            F.col("name").alias("column"),
+            "count",
+            np_round("_mean", digits).alias("mean"),
+            np_round(F.sqrt(F.try_divide(F.col("_squares"), F.col("count") - 1)), digits).alias("std"),
+            "min",
+            *[np_round(F.col("q")[i], digits).alias(q) for i, q in enumerate(["q25", "q50", "q75"])],
+            "max",
+        )
+    )
 
 
 def winsorize(
@@ -102,7 +108,7 @@ def winsorize(
 def box_stats(df: DataFrame, columns: Sequence[str], by: str, digits: int = 6) -> DataFrame:
     """Quartiles, whisker ends and number of outliers per column and group, from value counts."""
     keys = [by, "name"]
-    counts = value_counts_long(df, columns, [by])
+    counts = checkpointed(value_counts_long(df, columns, [by]))
     boxes = quantiles_of_counts(counts, [0.25, 0.5, 0.75], [by]).select(
         *keys, F.col("n").alias("_n"), F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3")
     )
@@ -130,17 +136,18 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: str, digits: int = 6) -
 
 def histogram(df: DataFrame, column: str, by: str, bins: int = 50, digits: int = 9) -> DataFrame:
     """Counts and densities in equal-width bins over each group's own range; the last bin is closed."""
-    value = F.col(column).cast("double")
-    rows = df.select(by, value.alias("_v")).filter(F.col("_v").isNotNull())
+    counts = checkpointed(value_counts_long(df, [column], [by]))
     # One row per group, with the bin numbers to fill the empty bins from.
-    ranges = rows.groupBy(by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("_v").alias("_n"))
+    ranges = counts.groupBy(by).agg(
+        F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.sum("n").alias("_n")
+    )
     width = F.col("_hi") - F.col("_lo")
-    raw = F.floor((F.col("_v") - F.col("_lo")) / width * F.lit(float(bins)))
+    raw = F.floor((F.col("value") - F.col("_lo")) / width * F.lit(float(bins)))
     bin_no = F.when(width == 0, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1))).cast("int")
     found = (
-        rows.join(ranges.select(by, "_lo", "_hi"), by)
+        counts.join(ranges.select(by, "_lo", "_hi"), by)
         .groupBy(by, bin_no.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     every = ranges.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     step = width / F.lit(float(bins))
@@ -186,7 +193,7 @@ def mutual_information(
     df: DataFrame, columns: Sequence[str], label: str = "churned", bins: int = 10, k: int | None = None, digits: int = 6
 ) -> DataFrame:
     """Information (nats) between a feature's quantile bin and the label, for screening."""
-    counts = value_counts_long(df, columns, [label])
+    counts = checkpointed(value_counts_long(df, columns, [label]))
     values = counts.groupBy("name", "value").agg(F.sum("n").alias("n"))
     inner = [i / bins for i in range(1, bins)]
     edges = quantiles_of_counts(values, inner).select("name", F.array_distinct("q").alias("_edges"))

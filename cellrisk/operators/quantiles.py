@@ -3,7 +3,8 @@
 Spark's exact `percentile` keeps every distinct value of a group in one aggregation buffer. Here the
 distinct values are counted first (combined map-side, spread by value), then cut into buckets at
 approximate quantiles of those distinct values. Bucket totals tell which buckets hold the wanted
-ranks, and only those buckets are ordered, one task per bucket.
+ranks, and only those buckets are ordered, one task per bucket. The counts are checkpointed, so the
+rows themselves are read once however many steps follow.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellrisk.session import checkpointed
+
 BUCKETS = 64
 SKETCH_ACCURACY = 1000
 
@@ -38,7 +41,10 @@ def _bucketed(counts: DataFrame) -> DataFrame:
 
 
 def quantiles_of_counts(counts: DataFrame, probabilities: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """(by.., name, n, q): `q` is the array of quantiles, linear between neighbouring ranks."""
+    """(by.., name, n, q): `q` is the array of quantiles, linear between neighbouring ranks.
+
+    `counts` is read three times: pass a checkpointed frame.
+    """
     keys = [*by, "name"]
     bucketed = _bucketed(counts)
     totals = bucketed.groupBy(*keys, "_bucket").agg(F.sum("n").alias("_bn"))
@@ -89,7 +95,7 @@ def quantiles_of_counts(counts: DataFrame, probabilities: Sequence[float], by: S
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
-    return quantiles_of_counts(value_counts_long(df, columns, by), probabilities, by)
+    return quantiles_of_counts(checkpointed(value_counts_long(df, columns, by)), probabilities, by)
 
 
 def approximate_quantiles(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cellrisk.functions.numeric import money_sum, np_round, steady_mean
 from cellrisk.functions.scoring import TIER_HIGH, TIERS, risk_tier, tier_color
+from cellrisk.session import checkpointed
 
 MIN_CELL_SIZE = 10
 ALERT_TIERS = ["HIGH", "CRITICAL"]
@@ -148,6 +149,7 @@ def concentration(cells: DataFrame, rows: DataFrame, key: str, share: float = 0.
     The cut is found from the rate distribution: cells are counted per distinct rate (few, rounded
     values), and only the cells at the cutting rate are numbered.
     """
+    cells = checkpointed(cells.select(key, "churn_rate", "n_churned"))
     by_rate = cells.groupBy("churn_rate").agg(
         F.count(F.lit(1)).alias("cells_at"), F.sum("n_churned").alias("churned_at")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -41,6 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not _is_local(spark):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="cellrisk-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", local)
     return local
 
@@ -51,9 +54,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise `df` in the shared folder and cut its lineage (survives executor loss)."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Write `df` as a table in the shared folder and read it back.
+
+    Cuts the lineage, survives executor loss, and gives later joins the true size, so Spark picks a
+    broadcast only for a table that has proved small.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cellrisk.functions.numeric import money_sum
 from cellrisk.functions.scoring import logit_score
+from cellrisk.sources.schemas import STAR
 
 SUBSCRIBER_COLUMNS = [
     "c_custkey", "subscriber_id", "snapshot_date", "contract_type", "payment_method",
@@ -32,7 +33,8 @@ _FROM_ORDERS = {"tenure_months", "total_charges", "tech_support_calls", "data_us
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(STAR[name]) if name in STAR else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _mixed(key: str, factor: int, modulus: int) -> Column:
