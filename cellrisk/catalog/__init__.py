@@ -6,7 +6,7 @@ import importlib
 
 from cellrisk.catalog.registry import ORACLES, QUERIES, Query
 
-_FAMILIES = ["features", "evaluation", "risk", "profiling", "monitoring", "spatial"]
+_FAMILIES = ["features", "evaluation", "risk", "profiling", "monitoring", "spatial", "files", "learning", "streams", "pipelines"]
 
 
 def _load() -> None:

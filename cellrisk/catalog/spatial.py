@@ -49,12 +49,12 @@ def nearest_poi_by_type(spark, sf_dir):
 @query(
     "pois_in_radius",
     f"""select s.subscriber_id, count(*) filter (where {_D} <= 5e-1) as pois_within_500m,
-    count(*) filter (where {_D} <= 5e0) as pois_within_5km from subscribers s cross join pois t group by 1""",
+    count(*) filter (where {_D} <= 2e0) as pois_within_2km from subscribers s cross join pois t group by 1""",
 )
 def pois_in_radius(spark, sf_dir):
     index = spatial.index_sites(pois(spark, sf_dir), "osm_id")
     found = spatial.with_radius_counts(
-        subscribers(spark, sf_dir, _PLACE), index, (0.5, 5.0), ("pois_within_500m", "pois_within_5km")
+        subscribers(spark, sf_dir, _PLACE), index, (0.5, 2.0), ("pois_within_500m", "pois_within_2km")
     )
     return found.drop("latitude", "longitude")
 

@@ -45,9 +45,22 @@ def with_bins(counts: DataFrame, edges: DataFrame) -> DataFrame:
     return joined.withColumn("bin", bin_no).drop("edges")
 
 
+def binned_counts_by(rows: DataFrame, features: Sequence[str], edges: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by.., name, bin, n)"""
+    counts = with_bins(value_counts_long(rows, features, by), edges)
+    return counts.groupBy(*by, "name", "bin").agg(F.sum("n").alias("n"))
+
+
 def binned_counts(rows: DataFrame, features: Sequence[str], edges: DataFrame) -> DataFrame:
-    counts = with_bins(value_counts_long(rows, features), edges)
-    return counts.groupBy("name", "bin").agg(F.sum("n").alias("n"))
+    return binned_counts_by(rows, features, edges, [])
+
+
+def psi_by(expected: DataFrame, actual: DataFrame, by: Sequence[str], digits: int = 6) -> DataFrame:
+    """(by.., feature, psi, n_reference, n_current) from binned counts, per group of `actual`."""
+    groups = actual.select(*by, "name").distinct()
+    known = groups.join(expected.withColumnRenamed("n", "_e"), "name")
+    both = known.join(actual.withColumnRenamed("n", "_a"), [*by, "name", "bin"], "full")
+    return _psi(both.na.fill(0, ["_e", "_a"]), digits, by)
 
 
 def psi_from_counts(expected: DataFrame, actual: DataFrame, digits: int = 6) -> DataFrame:
@@ -58,17 +71,17 @@ def psi_from_counts(expected: DataFrame, actual: DataFrame, digits: int = 6) ->
     return _psi(both.na.fill(0, ["_e", "_a"]), digits)
 
 
-def _psi(both: DataFrame, digits: int) -> DataFrame:
-    """`both` has (name, bin, _e, _a), a few rows per feature. A bin that is empty on both sides adds
-    nothing; rows outside the bins (bin 0) count in the denominators only."""
-    feature = Window.partitionBy("name")
+def _psi(both: DataFrame, digits: int, by: Sequence[str] = ()) -> DataFrame:
+    """`both` has (by.., name, bin, _e, _a), a few rows per feature. A bin that is empty on both sides
+    adds nothing; rows outside the bins (bin 0) count in the denominators only."""
+    feature = Window.partitionBy(*by, "name")
     totals = {"_te": F.sum("_e").over(feature), "_ta": F.sum("_a").over(feature)}
     eps = F.lit(EPS)
     e, a = F.col("_e") / (F.col("_te") + eps), F.col("_a") / (F.col("_ta") + eps)
     part = F.when(F.col("bin") > 0, (a - e) * F.ln((a + eps) / (e + eps))).otherwise(F.lit(0.0))
     return (
         both.withColumns(totals)
-        .groupBy(F.col("name").alias("feature"))
+        .groupBy(*by, F.col("name").alias("feature"))
         .agg(
             np_round(F.sum(part), digits).alias("psi"),
             F.first("_te").alias("n_reference"),
