@@ -70,12 +70,15 @@ def describe(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFram
         counts.join(F.broadcast(centre), "name").groupBy("name").agg(F.sum(off * off * F.col("n")).alias("_squares"))
     )
     quartiles = quantiles_of_counts(counts, [0.25, 0.5, 0.75]).drop("n")
+    # One row per column asked for, so that an all-NULL column shows up with count 0.
+    asked = df.sparkSession.createDataFrame([(c,) for c in columns], "name string")
     return (
-        centre.join(squares, "name")
-        .join(quartiles, "name")
+        asked.join(centre, "name", "left")
+        .join(squares, "name", "left")
+        .join(quartiles, "name", "left")
         .select(
             F.col("name").alias("column"),
-            "count",
+            F.coalesce("count", F.lit(0)).alias("count"),
             np_round("_mean", digits).alias("mean"),
             np_round(F.sqrt(F.try_divide(F.col("_squares"), F.col("count") - 1)), digits).alias("std"),
             "min",
