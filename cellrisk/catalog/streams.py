@@ -9,7 +9,7 @@ from cellrisk.catalog.registry import query
 from cellrisk.catalog.tables import grid_sql, r, tier_sql
 from cellrisk.operators import drift
 from cellrisk.operators import neighborhood as nb
-from cellrisk.session import scratch_path
+from cellrisk.session import checkpointed, scratch_path
 from cellrisk.sources.testbed import subscribers, table
 from cellrisk.streaming import scoring, windows
 
@@ -25,7 +25,8 @@ def _arriving(spark, sf_dir):
 def _grid(spark, sf_dir):
     base = nb.add_cells(subscribers(spark, sf_dir, ["churned", "latitude", "longitude"]), [scoring.CELL_RESOLUTION])
     stats = nb.cell_stats(base, f"cell_r{scoring.CELL_RESOLUTION}", {"churned": "cell_churn_rate"})
-    return stats.withColumnRenamed(f"cell_r{scoring.CELL_RESOLUTION}", "cell")
+    # Written once; every micro-batch reads the finished table.
+    return checkpointed(stats.withColumnRenamed(f"cell_r{scoring.CELL_RESOLUTION}", "cell"))
 
 
 @query(
@@ -89,7 +90,7 @@ def stream_weekly_kpi(spark, sf_dir):
 @query("stream_psi")
 def stream_psi(spark, sf_dir):
     reference = table(spark, sf_dir, "events").filter(F.col("ts") < F.expr("timestamp '2024-01-16 00:00:00'"))
-    edges = drift.reference_edges(reference, ["value"])
+    edges = checkpointed(drift.reference_edges(reference, ["value"]))
     expected = drift.binned_counts(reference, ["value"], edges)
     output = scratch_path(spark, "drift")
     stream = windows.drift_stream(

@@ -31,6 +31,9 @@ POSITIVE_WEIGHT = 4.5
 OVERSAMPLE_RATIO = 0.5
 NEIGHBORS = 5
 
+# Parts a projection is cut into at most; beyond that, parts are sliced by key hash.
+MAX_PARTS = 256
+
 
 class FeatureArray(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Aligned features as one vector: an absent column counts 0, NULL counts -999."""
@@ -161,7 +164,7 @@ def fit_bundle(rows: DataFrame, key: str, learner: Estimator | None = None, labe
     """Train on a share of the rows, and tune the threshold on the rows kept apart."""
     marked = checkpointed(stratified_split(rows, key, label, 0.15, seed=SEED + 1))
     model = train(marked.filter(~F.col("is_test")).drop("is_test"), key, learner, label)
-    held_out = score(model, marked.filter("is_test").drop("is_test")).select(label, "churn_probability")
+    held_out = checkpointed(score(model, marked.filter("is_test").drop("is_test")).select(label, "churn_probability"))
     threshold = evaluate.best_threshold(held_out, label=label).first()["threshold"]
     return ModelBundle(model, float(threshold), feature_names(model))
 
@@ -205,7 +208,9 @@ def tune(
 
 
 def quality(scored: DataFrame, label: str = "churned", threshold: float = 0.5) -> DataFrame:
-    return evaluate.classification_metrics(scored, threshold, label=label)
+    # Scored once and written: the metrics then read two narrow columns.
+    narrow = checkpointed(scored.select(label, "churn_probability"))
+    return evaluate.classification_metrics(narrow, threshold, label=label)
 
 
 def compare_models(rows: DataFrame, key: str, label: str = "churned", iterations: int = 10) -> DataFrame:
@@ -231,8 +236,7 @@ def cross_validate(rows: DataFrame, key: str, k: int = 5, label: str = "churned"
     for i in range(k):
         learner = boosted_trees(label, iterations, validation="is_validation")
         model = train(folds.filter(F.col("fold") != i).drop("fold"), key, learner, label)
-        scored = checkpointed(score(model, folds.filter(F.col("fold") == i)).select(label, "churn_probability"))
-        line = quality(scored, label).select(F.lit(i).alias("fold"), "roc_auc", "pr_auc", "f1")
+        line = quality(score(model, folds.filter(F.col("fold") == i)), label).select(F.lit(i).alias("fold"), "roc_auc", "pr_auc", "f1")
         out = line if out is None else out.unionByName(line)
     long = checkpointed(out).unpivot(["fold"], ["roc_auc", "pr_auc", "f1"], "metric", "value")
     return long.groupBy("metric").agg(
@@ -341,7 +345,7 @@ def oversample(
     long = minority.select(
         key, "x", "z", F.posexplode(F.array(*dots)).alias("direction", "at")
     )
-    parts = max(1, math.ceil(counts["n_positive"] / block))
+    parts = min(MAX_PARTS, max(1, math.ceil(counts["n_positive"] / block)))
     if parts > 1:
         points = [i / parts for i in range(1, parts)]
         edges = long.groupBy("direction").agg(
@@ -353,7 +357,8 @@ def oversample(
         ).drop("edges")
     else:
         long = long.withColumn("part", F.lit(0))
-    # A value shared by very many rows fills one part: spread it over as many slices as it needs.
+    # A part with too many rows, be it for their number or for one value they share, is spread over as
+    # many slices as it needs.
     sizes = long.groupBy("direction", "part").agg(F.ceil(F.count(F.lit(1)) / F.lit(2.0 * block)).alias("slices"))
     sliced = long.join(F.broadcast(sizes), ["direction", "part"]).withColumn(
         "slice", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.col("slices"))

@@ -51,8 +51,8 @@ FIELD_DEFAULTS = {
 CONTEXT_DEFAULTS = {
     "churned": 0,
     "churn_probability_true": 0,
-    "h3_r7": "unknown",
-    "h3_r8": "unknown",
+    "cell_r7": "unknown",
+    "cell_r8": "unknown",
     "dist_to_nearest_tower_km": 1.5,
     "towers_within_1km": 3,
     "towers_within_2km": 10,

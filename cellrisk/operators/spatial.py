@@ -162,10 +162,6 @@ def _located(df: DataFrame, lat: str, lon: str) -> DataFrame:
     return df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
 
 
-def _unlocated(df: DataFrame, lat: str, lon: str) -> DataFrame:
-    return df.filter(F.col(lat).isNull() | F.col(lon).isNull())
-
-
 def _row_keys(df: DataFrame, lat: str, lon: str) -> DataFrame:
     """Finest key of every located row; reads two columns of the table. Callers group it by cells."""
     key = _point_key(F.col(lat).cast("double"), F.col(lon).cast("double"))
@@ -349,16 +345,23 @@ def _candidates(
 
 
 def _meet(df: DataFrame, lists: DataFrame, levels: Sequence[int], lat: str, lon: str) -> DataFrame:
-    """Join each located row with the list of the one row cell that contains it."""
+    """Join each row with the list of the one row cell that contains it.
+
+    A located row looks its cell up at every level in use, and exactly one look-up meets a list. A row
+    without coordinates looks nothing up and keeps a NULL list. The table is read once.
+    """
     place = F.col(lat).cast("double"), F.col(lon).cast("double")
-    keyed = _located(df, lat, lon).select(
+    located = place[0].isNotNull() & place[1].isNotNull()
+    tried = F.when(located, F.array(*[F.lit(k) for k in levels])).otherwise(F.array(F.lit(None).cast("int")))
+    keyed = df.select(
         "*",
         _point_key(*place).alias("_key"),
         *[c.alias(name) for name, c in zip(_OWN, _xyz(*place), strict=True)],
-        F.explode(F.array(*[F.lit(k) for k in levels])).alias("level"),
+        F.explode(tried).alias("level"),
     )
     keyed = keyed.withColumn("cell", _up(F.col("_key"), F.col("level"))).drop("_key")
-    return keyed.join(lists, ["level", "cell"]).drop("level", "cell")
+    met = keyed.join(lists, ["level", "cell"], "left")
+    return met.filter(F.col("near").isNotNull() | F.col("level").isNull()).drop("level", "cell")
 
 
 def _squared_chord(site: Column) -> Column:
@@ -413,8 +416,7 @@ def with_nearest(
     if not levels:
         return df.withColumns(nothing)
     met = _meet(df, lists.drop("kind"), levels, lat, lon).withColumn("_best", _best(lat, lon, index))
-    found = met.withColumns({name: value for name, (value, _) in outputs.items()}).drop("near", "_best", *_OWN)
-    return found.unionByName(_unlocated(df, lat, lon).withColumns(nothing))
+    return met.withColumns({name: value for name, (value, _) in outputs.items()}).drop("near", "_best", *_OWN)
 
 
 def with_radius_counts(
@@ -458,9 +460,11 @@ def with_radius_counts(
 
         return F.aggregate("_near", F.lit(0).cast("bigint"), add)
 
-    counts = {name: F.col(base) + within(r) for name, base, r in zip(names, bases, radii, strict=True)}
-    found = measured.withColumns(counts).drop("near", "_near", *bases, *_OWN)
-    return found.unionByName(_unlocated(df, lat, lon).withColumns(zeros))
+    counts = {
+        name: F.coalesce(F.col(base) + within(r), F.lit(0).cast("bigint"))
+        for name, base, r in zip(names, bases, radii, strict=True)
+    }
+    return measured.withColumns(counts).drop("near", "_near", *bases, *_OWN)
 
 
 def nearest_by_kind(
@@ -486,17 +490,15 @@ def nearest_by_kind(
     # generated code, and their minima combine before the shuffle.
     each = (
         _meet(narrow, lists, levels, lat, lon)
-        .select(key, lat, lon, "kind", F.explode("near").alias("site"))
+        .select(key, lat, lon, "kind", F.explode_outer("near").alias("site"))
         .select(key, "kind", haversine_km(F.col(lat), F.col(lon), F.col("site.lat"), F.col("site.lon")).alias("d"))
     )
-    wide = each.groupBy(key).agg(
+    return each.groupBy(key).agg(
         *[
             np_round(F.min(F.when(F.col("kind") == k, F.col("d"))), digits).alias(c)
             for k, c in zip(kinds, columns, strict=True)
         ]
     )
-    missing = _unlocated(narrow, lat, lon).select(key, *[F.lit(None).cast("double").alias(c) for c in columns])
-    return wide.unionByName(missing)
 
 
 def tower_features(df: DataFrame, towers: DataFrame, id_col: str = "tower_id", info: str = "radio") -> DataFrame:
