@@ -141,7 +141,26 @@ def align_features(spark, sf_dir):
     return encode.align_features(holes, ["tenure_months", "monthly_charges", "never_seen"], keep=["subscriber_id"])
 
 
-@query("feature_list")
+_DERIVED = [
+    "is_new_subscriber", "is_long_term", "charge_per_month_tenure", "data_charge_ratio", "call_intensity",
+    "contract_risk_score", "is_high_support", "support_per_month", "network_quality_score", "is_high_drop_rate",
+    "is_high_outage", "network_frustration_index",
+]
+_MODEL_INPUTS = [
+    c
+    for c in SUBSCRIBER_COLUMNS
+    if c not in (*encode.NON_FEATURES, "contract_type", "payment_method", "internet_service")
+] + _DERIVED
+
+
+@query(
+    "feature_list",
+    "with t as (select count(*) as n from subscribers) "
+    + " union all ".join(
+        f"select '{name}' as feature, n as n_values from t"
+        for name in [*_MODEL_INPUTS, *(encode.level_name(c, v) for c, vs in DECLARED_LEVELS.items() for v in vs)]
+    ),
+)
 def feature_list(spark, sf_dir):
     """Model inputs found by reading the schema of the encoded frame, next to rows that carry them."""
     base = ft.all_features(subscribers(spark, sf_dir))
@@ -268,7 +287,25 @@ def q_grid_cell(spark, sf_dir):
     )
 
 
-@query("hex_cell")
+def _hex_sql(resolution: int) -> str:
+    """Cube rounding, written out: the coordinate that moved most is set from the other two."""
+    edge = repr(geo.hex_edge_km(resolution))
+    x, y = "radians(longitude) * 6371e0", "sin(radians(latitude)) * 6371e0"
+    third, root = repr(1.0 / 3.0), repr(3.0**0.5 / 3.0)
+    return f"""(select subscriber_id, concat('x{resolution}_',
+      cast(case when dq > dr and dq > ds then -rr - rs else rq end as bigint), '_',
+      cast(case when not (dq > dr and dq > ds) and dr > ds then -rq - rs else rr end as bigint)) as cell
+      from (select *, abs(rq - q) as dq, abs(rr - r) as dr, abs(rs - s) as ds
+        from (select *, round_even(q, 0) as rq, round_even(r, 0) as rr, round_even(s, 0) as rs
+          from (select *, -q - r as s from (select subscriber_id,
+            (cast({root} as double) * {x} - cast({third} as double) * {y}) / cast({edge} as double) as q,
+            (cast({2.0 / 3.0!r} as double) * {y}) / cast({edge} as double) as r from subscribers)))))"""
+
+
+@query(
+    "hex_cell",
+    f"select a.subscriber_id, a.cell as cell_r7, b.cell as cell_r8 from {_hex_sql(7)} a join {_hex_sql(8)} b on a.subscriber_id = b.subscriber_id",
+)
 def q_hex_cell(spark, sf_dir):
     base = subscribers(spark, sf_dir, ["subscriber_id", "latitude", "longitude"])
     return base.select(

@@ -10,6 +10,7 @@ from cellrisk.catalog.spatial import _COUNTS, _D
 from cellrisk.catalog.tables import grid_sql, mean, r
 from cellrisk.operators import drift
 from cellrisk.plans import feature_build, monitor
+from cellrisk.session import checkpointed
 from cellrisk.sources.testbed import POI_TYPES, cell_towers, pois, subscribers
 
 _BUILT = [
@@ -36,9 +37,8 @@ _BUILT = [
     join p on s.subscriber_id = p.subscriber_id left join d on s.cell_r8 = d.cell_r8 join c on s.cell_r8 = c.cell_r8""",
 )
 def build(spark, sf_dir):
-    featured = feature_build.build_features(
-        subscribers(spark, sf_dir), cell_towers(spark, sf_dir), pois(spark, sf_dir), POI_TYPES
-    )
+    stored = checkpointed(subscribers(spark, sf_dir))
+    featured = feature_build.build_features(stored, cell_towers(spark, sf_dir), pois(spark, sf_dir), POI_TYPES)
     return featured.select(*_BUILT)
 
 

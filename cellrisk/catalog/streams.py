@@ -87,7 +87,26 @@ def stream_weekly_kpi(spark, sf_dir):
     return windows.latest_weeks(spark, output)
 
 
-@query("stream_psi")
+_WEEK = "make_timestamp(cast(floor(epoch(ts) / 604800) as bigint) * 604800000000)"
+_POINTS = ",".join(f"{i}e-1" for i in range(11))
+
+
+@query(
+    "stream_psi",
+    f"""with ref as (select value from events where ts < timestamp '2024-01-16 00:00:00'),
+    ed as (select list_sort(list_distinct(quantile_cont(value, [{_POINTS}]))) as edges from ref),
+    b as (select {_WEEK} as week_start, ts < timestamp '2024-01-16 00:00:00' as is_ref,
+      case when value < edges[1] or value > edges[-1] then 0 when value = edges[-1] then len(edges) - 1
+        else len([x for x in edges if x <= value]) end as bin from events, ed where value is not null),
+    bins as (select unnest(range(1, len(edges))) as bin from ed),
+    e as (select bin, count(*) as n from b where is_ref group by 1),
+    a as (select week_start, bin, count(*) as n from b group by 1, 2),
+    w as (select week_start, sum(n) as t from a group by 1),
+    p as (select w.week_start, coalesce(e.n, 0) / ((select count(*) from ref) + 1e-10) as x, coalesce(a.n, 0) / (w.t + 1e-10) as y, w.t
+      from w cross join bins left join e on e.bin = bins.bin left join a on a.bin = bins.bin and a.week_start = w.week_start)
+    select week_start, 'value' as feature, {r('sum((y - x) * ln((y + 1e-10) / (x + 1e-10)))', 6)} as psi,
+      (select count(*) from ref) as n_reference, cast(max(t) as bigint) as n_current from p group by 1""",
+)
 def stream_psi(spark, sf_dir):
     reference = table(spark, sf_dir, "events").filter(F.col("ts") < F.expr("timestamp '2024-01-16 00:00:00'"))
     edges = checkpointed(drift.reference_edges(reference, ["value"]))

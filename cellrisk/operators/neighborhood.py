@@ -66,6 +66,23 @@ def leave_one_out_rate(df: DataFrame, cell: str, label: str = "churned", name: s
     )
 
 
+def with_cell_context(rows: DataFrame, base: DataFrame, cell: str, leave_one_out: bool = True, label: str = "churned") -> DataFrame:
+    """Join the cell statistics of `base` to `rows`, with the row's own label left out of the rate.
+
+    `base` is the plain table with its cells: statistics then do not depend on the joins that made
+    `rows`, and one aggregation gives means and the leave-one-out sums together.
+    """
+    sums = [F.sum(F.col(label).cast("bigint")).alias("_positives"), F.count(label).alias("_labelled")]
+    means = [np_round(steady_mean(c), 6).alias(n) for c, n in CELL_MEANS.items() if c in base.columns]
+    stats = base.groupBy(cell).agg(F.count(cell).alias("cell_subscriber_count"), *means, *sums)
+    joined = join_cells(rows, stats, cell)
+    if leave_one_out:
+        others = F.col("_labelled") - F.when(F.col(label).isNotNull(), 1).otherwise(0)
+        left = F.col("_positives") - F.coalesce(F.col(label), F.lit(0))
+        joined = joined.withColumn("cell_churn_rate", F.try_divide(left.cast("double"), others))
+    return joined.drop("_positives", "_labelled")
+
+
 def lagged_rate(df: DataFrame, cell: str, period: str, label: Column, name: str = "rate") -> DataFrame:
     """Rate per cell and period next to the previous period's. The window runs over aggregated rows:
     its partitions hold one row per period."""

@@ -41,12 +41,13 @@ def build_features(
     leave_one_out: bool = True,
 ) -> DataFrame:
     """All features of every subscriber, source columns kept. The cell's churn rate leaves out the
-    row's own label unless told otherwise."""
+    row's own label unless told otherwise.
+
+    The subscriber table is read several times (places, cells, rows): pass one that is stored.
+    """
     featured = all_features(place_features(subscribers, towers, pois, poi_types))
-    with_cells = neighborhood.cell_neighborhood(featured, CELL_COLUMN)
-    if not leave_one_out:
-        return with_cells
-    return neighborhood.leave_one_out_rate(with_cells.drop("cell_churn_rate"), CELL_COLUMN, name="cell_churn_rate")
+    plain = neighborhood.add_cells(subscribers, (8,))
+    return neighborhood.with_cell_context(featured, plain, CELL_COLUMN, leave_one_out)
 
 
 @dataclass(frozen=True)

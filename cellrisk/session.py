@@ -10,8 +10,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str = "cellrisk", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with the settings the operators assume; `conf` keys use `_` for `.`."""
+PARTITIONS_PER_GB = 8
+
+# Temporary folder of each local application.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
+def build_session(
+    app: str = "cellrisk", master: str | None = None, input_gb: float | None = None, **conf: str
+) -> SparkSession:
+    """Session with the settings the operators assume; `conf` keys use `_` for `.`.
+
+    `input_gb`, the size of the largest table to shuffle, sets the number of shuffle partitions before
+    adaptive coalescing to one per 128 MB. Adaptive execution merges small partitions but does not make
+    new ones, so 100 TB need about 800,000 / (compression and column pruning) of them, not 200.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -21,6 +34,9 @@ def build_session(app: str = "cellrisk", master: str | None = None, **conf: str)
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
     }
+    if input_gb:
+        partitions = max(200, int(input_gb * PARTITIONS_PER_GB))
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(partitions)
     settings.update({k.replace("_", "."): v for k, v in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -40,11 +56,14 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    app = spark.sparkContext.applicationId
+    if app in _LOCAL_DIRS:
+        return _LOCAL_DIRS[app]
     if not _is_local(spark):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="cellrisk-")
     atexit.register(shutil.rmtree, local, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", local)
+    _LOCAL_DIRS[app] = local
     return local
 
 
