@@ -10,7 +10,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from cellrisk import catalog
-from cellrisk.session import build_session
+from cellrisk.session import build_session, clear_scratch
 
 HEADLINE = [
     "scan_subscribers", "feat_network_quality", "one_hot", "row_checks", "grid_cell", "cell_neighborhood",
@@ -42,6 +42,7 @@ def main() -> None:
         queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
         print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
+    clear_scratch(spark)
     spark.stop()
     total = round(sum(seconds.values()), 3)
     print(

@@ -280,7 +280,7 @@ def ranked_rows(
     """
     hashed = (
         df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .select(key, label, np_round(score, digits).alias("step"), F.md5(F.col(key).cast("binary")).alias("_h"))
+        .select(key, label, np_round(score, digits).alias("step"), F.md5(F.col(key).cast("string").cast("binary")).alias("_h"))
         .withColumn("_part", F.substring("_h", 1, 2))
         # At most 10^digits + 1 rows.
         .join(F.broadcast(steps.select("step")), "step", "left_semi")

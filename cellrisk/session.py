@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 PARTITIONS_PER_GB = 8
 
-# Temporary folder of each local application.
+# Temporary folder of each local application, and the scratch paths of each application.
 _LOCAL_DIRS: dict[str, str] = {}
+_SCRATCH: dict[str, list[str]] = {}
 
 
 def build_session(
@@ -69,7 +70,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the tables this application wrote to the shared folder. Frames that read them end too."""
+    files = spark._jvm.org.apache.hadoop.fs
+    for name in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        path = files.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from cellrisk.session import build_session
+from cellrisk.session import build_session, clear_scratch
 
 SF_DIR = os.environ.get("CELLRISK_TEST_DIR", "/root/testdata/sf0.01")
 
@@ -22,6 +22,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

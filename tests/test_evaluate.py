@@ -97,3 +97,11 @@ def test_calibration_edges_belong_below(spark):
 def test_too_many_digits_are_refused(spark, data):
     with pytest.raises(ValueError):
         ev.score_steps(frame(spark, *data), digits=12)
+
+
+def test_numeric_keys_rank_too(spark, data):
+    y, p = data
+    rows = [(i, int(a), float(b)) for i, (a, b) in enumerate(zip(y, p))]
+    df = spark.createDataFrame(rows, "id long, churned int, churn_probability double")
+    ranks = [r["rank"] for r in ev.cumulative_gain(df, "id").collect()]
+    assert sorted(ranks) == list(range(1, 401))
