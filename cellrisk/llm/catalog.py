@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cellrisk.llm import bpe, mixing
+from cellrisk.llm import bpe, jaccard, language, lattice, mixing, secrets, suffixes, toxicity
 from cellrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,36 @@ def oracles() -> dict[str, str]:
     return dict(ORACLES)
 
 
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op3_suffix_dedup")
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+@query("op4_ngram_jaccard")
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op5_secret_scan")
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.grade_texts(docs, toxicity.severity_model(docs, table(spark, sf_dir, "labels")))
+
+
 MIX_SQL = r"""
 with sized as (
     select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
@@ -85,3 +116,8 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
+
+
+@query("op9_embedding_neardup")
+def op9_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_vectors(table(spark, sf_dir, "embeddings"))
