@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellrisk.llm.common import bounded_batches, release, store, utf8
+from cellrisk.llm.common import bounded_batches, store, utf8
 from cellrisk.llm.hashing import BLOCK, mixed, prefix_sums, ranges
 
 #: Strings of LENGTH bytes are looked for; buckets start from GRAM bytes; offsets of a bucket are refined in cells of CELL.
@@ -105,13 +105,15 @@ def _sorted_out(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(settled, open) rows of buckets with more than one row.
 
     Where all strings of a row stand elsewhere as well, in the same order, it is settled: they repeat. A row alone in
-    its bucket has none that repeats and goes. The rest is open and has to be refined. Counts combine map-side.
+    its bucket has none that repeats and goes. In buckets of several kinds of rows, one row of each kind stays open:
+    it has to be refined, to find what it shares with other kinds. Counts combine map-side.
     """
-    counts = rows.groupBy("bucket", "all").agg(F.count("*").alias("_n"))
-    many = counts.groupBy("bucket").agg(F.sum("_n").alias("_all")).where("_all > 1").drop("_all")
-    counts = counts.join(many, "bucket")
-    told = store(rows.join(counts, ["bucket", "all"]).select(*rows.columns, "_n"), "buckets")
-    return told.where("_n > 1").drop("_n"), told.where("_n = 1").drop("_n")
+    columns = ["id", "k", "a", "x", "lo", "hi"]
+    kinds = rows.groupBy("bucket", "all").agg(F.count("*").alias("_n"), F.min(F.struct(*columns)).alias("_one"))
+    kinds = store(kinds, "kinds")
+    settled = rows.join(kinds.where("_n > 1").select("bucket", "all"), ["bucket", "all"]).select("id", "k", "lo", "hi")
+    mixed_up = kinds.groupBy("bucket").agg(F.count("*").alias("_kinds")).where("_kinds > 1").drop("_kinds")
+    return settled, kinds.join(mixed_up, "bucket").select("_one.*", "bucket")
 
 
 def _refined(keyed: DataFrame, rows: DataFrame, finest: bool) -> DataFrame:
@@ -172,14 +174,10 @@ def repeats(docs: DataFrame) -> DataFrame:
     keyed = _keyed(docs)
     start = store(_first_buckets(keyed).withColumn("x", F.lit(0).cast("long")), "pointers")
     settled, still = _sorted_out(start)
-    release(start)
     cells = store(_refined(keyed, still, False), "pointers")
     more, still = _sorted_out(cells)
-    release(cells)
-    last = store(_refined(keyed, still, True), "pointers")
-    single, _ = _sorted_out(last)
-    columns = ["id", "k", "lo", "hi"]
-    return settled.select(columns).unionByName(more.select(columns)).unionByName(single.select(columns))
+    single, _ = _sorted_out(store(_refined(keyed, still, True), "pointers"))
+    return settled.unionByName(more).unionByName(single)
 
 
 def without_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
