@@ -111,7 +111,7 @@ def sparse_rows(docs: DataFrame, keep: list[str], chosen: np.ndarray) -> DataFra
     return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(rows_of, ddl)
 
 
-def fit_ordinal(at: list, n: list, grade: np.ndarray, features: int, grades: int, rounds: int = 400, ridge: float = 1e-3):
+def fit_ordinal(at: list, n: list, grade: np.ndarray, features: int, grades: int, rounds: int = 600, ridge: float = 1e-5):
     """(weights, thresholds) of P(y <= k) = sigmoid(threshold_k - w x), x = log(1 + count), by gradient descent.
 
     One weight per feature for all thresholds. Thresholds stay in order because all but the first are stored as
