@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellrisk.llm import bpe, jaccard, language, lattice, mixing, secrets, suffixes, toxicity
+from cellrisk.llm import bpe, hamming, jaccard, language, lattice, mixing, secrets, suffixes, tokens, toxicity
 from cellrisk.llm.common import table
+from cellrisk.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +35,27 @@ def oracles() -> dict[str, str]:
     return dict(ORACLES)
 
 
+TOP_SQL = """
+with codes as (
+    select vec_id, list_sum(list_transform(range(1, 65), i -> case when embedding[i] > 0 then 1::hugeint << (i - 1)::int else 0::hugeint end))::hugeint as code
+    from embeddings
+), pairs as (
+    select q.vec_id as query_id, v.vec_id as vec_id, bit_count(xor(q.code, v.code))::int as distance
+    from codes q join codes v on q.vec_id <> v.vec_id where q.vec_id % 100 = 0
+), ranked as (
+    select *, row_number() over (partition by query_id order by distance, vec_id)::int as rank from pairs
+)
+select query_id, rank, vec_id, distance from ranked where rank <= 10
+"""
+
+
+@query("op1_topk_hamming", TOP_SQL)
+def op1_topk_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), hamming.sign_code().alias("code"))
+    found = hamming.nearest_codes(codes, codes.where("id % 100 = 0"), k=10)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "distance")
+
+
 @query("op2_language_id")
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
@@ -121,3 +143,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_embedding_neardup")
 def op9_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    folder = scratch_path(spark, "flat")
+    return tokens.counted(table(spark, sf_dir, "documents"), folder, vocabulary, public_tokenizers.PATTERN, separator=50256)

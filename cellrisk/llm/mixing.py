@@ -132,3 +132,17 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3,
     taken = pieces.groupBy(*kept).agg(F.sum(F.when(F.col("_fr").isNull(), F.lit(0)).otherwise(words)).cast("long").alias("taken"))
     empty = stream.where("size = 0").select(*kept, F.lit(0).cast("long").alias("taken"))
     return taken.unionByName(empty).drop("_start")
+
+
+def repeated(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3) -> DataFrame:
+    """The rows of `docs` as often as the mix reads them: 0 to `epochs` times, with the columns they came with.
+
+    A document that a source's last pass reads in part is rounded to whole passes. A document without words adds nothing to
+    a mix and stays once. Rows with equal doc_id, source and size share the mean of what is taken of them.
+    """
+    sizes = mix(docs, weights, epochs).groupBy("doc_id", "source", "size").agg(F.avg("taken").alias("_taken"))
+    times = F.when(F.col("size") > 0, F.round(F.col("_taken") / F.col("size"))).otherwise(1).cast("int")
+    known = store(sizes.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), times.alias("_times")), "mix")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (word_count() == F.col("_size"))
+    rows = docs.join(known.where("_times > 0"), same).withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return rows.select(*docs.columns)
