@@ -59,6 +59,9 @@ def _nearest(k: int):
             d = np.bitwise_count((q ^ code).view(np.uint64)).astype(np.int32)
             order = np.lexsort((low, d, q))
             q, code, low, d = q[order], code[order], low[order], d[order]
+            # A code met in several segments counts once, else it would push others out of the k.
+            new = np.append(True, (q[1:] != q[:-1]) | (low[1:] != low[:-1])) if len(q) else np.zeros(0, bool)
+            q, code, low, d = q[new], code[new], low[new], d[new]
             first = np.flatnonzero(np.append(True, q[1:] != q[:-1])) if len(q) else np.zeros(0, np.int64)
             rank = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q))))
             keep = rank < k

@@ -75,3 +75,21 @@ def base_spans(text):
         found += [(m.start(), m.end(), kind) for m in re.finditer(pattern, text) if len(m.group(group)) >= least]
     order = ("assign", "access", "hex")
     return sorted(found, key=lambda s: (s[0], order.index(s[2])))
+
+
+def targets(sizes, weights=(5, 2, 1), epochs=3):
+    """Target of each source: the excess of sources above `epochs` times their size goes to the others, until none is."""
+    names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in sizes)
+    names = [s for s in names if sizes[s]]
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    out, free, left = {s: 0.0 for s in sizes}, set(names), sum(sizes.values())
+    while free:
+        share = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+        over = [s for s in free if share[s] > epochs * sizes[s]]
+        if not over:
+            return out | share
+        for s in over:
+            out[s] = float(epochs * sizes[s])
+            left -= epochs * sizes[s]
+        free -= set(over)
+    return out
