@@ -37,7 +37,7 @@ def oracles() -> dict[str, str]:
 
 TOP_SQL = """
 with codes as (
-    select vec_id, list_sum(list_transform(range(1, 65), i -> case when embedding[i] > 0 then 1::hugeint << (i - 1)::int else 0::hugeint end))::hugeint as code
+    select vec_id, list_sum([case when embedding[i] > 0 then 1::hugeint << (i - 1)::int else 0::hugeint end for i in range(1, 65)])::hugeint as code
     from embeddings
 ), pairs as (
     select q.vec_id as query_id, v.vec_id as vec_id, bit_count(xor(q.code, v.code))::int as distance
