@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cellrisk.catalog.features import faulty_requests
 from cellrisk.catalog.registry import query
-from cellrisk.catalog.tables import grid_sql, r, tier_sql
+from cellrisk.catalog.tables import LOGIT_SQL, grid_sql, r, tier_sql
 from cellrisk.operators import drift
 from cellrisk.operators import neighborhood as nb
 from cellrisk.session import checkpointed, scratch_path
@@ -31,11 +31,11 @@ def _grid(spark, sf_dir):
 
 @query(
     "score_stream",
-    f"""with s as (select *, {grid_sql('latitude', 'longitude', 8)} as cell from feats),
+    f"""with s as (select *, {grid_sql('latitude', 'longitude', 8)} as cell, 1e0/(1e0+exp(-({LOGIT_SQL}))) as p from feats),
     g as (select cell, {r('sum(churned) / cast(count(*) as double)', 6)} as rate from s group by 1)
-    select subscriber_id, churn_probability, cast(case when churn_probability >= 45e-2 then 1 else 0 end as int) as churn_predicted,
-      {tier_sql('churn_probability')} as risk_tier, s.cell, rate as cell_churn_rate, network_quality_score,
-      {r('monthly_charges * churn_probability', 2)} as revenue_at_risk
+    select subscriber_id, churn_probability, cast(case when p >= 45e-2 then 1 else 0 end as int) as churn_predicted,
+      {tier_sql('p')} as risk_tier, s.cell, rate as cell_churn_rate, network_quality_score,
+      {r('monthly_charges * p', 2)} as revenue_at_risk
     from s join g on s.cell = g.cell where c_custkey % 11 <> 0 and c_custkey % 13 <> 0 and c_custkey % 17 <> 0 and c_custkey % 19 <> 0""",
 )
 def score_stream(spark, sf_dir):

@@ -80,15 +80,18 @@ def _grid_cte(resolution: int, minimum: int) -> str:
     from scored group by 1) where subscriber_count >= {minimum}"""
 
 
-_CTES: dict[str, str] = {
-    "subscribers": f"""select b.*, case when (c_custkey*48271) % 1000 / 1e3 < churn_probability then 1 else 0 end as churned
-  from (select a.*, round_even(1e4/(1e0+exp(-(-25e-1
+#: Linear score of a row of subscribers; its probability is 1 / (1 + exp(-score)).
+LOGIT_SQL = """-25e-1
    + (case contract_type when 'month-to-month' then 15e-1 when 'one-year' then 8e-1 else 0e0 end)
    - 2e-2*tenure_months + 15e-3*monthly_charges
    - (case when internet_service = 'fiber_optic' then 5e-1 else 0e0 end)
    + 4e-2*call_drops_monthly + 3e-2*outage_minutes_monthly/1e1 - 3e-2*(rsrq_avg+11e0)
    + (case when payment_method = 'electronic_check' then 4e-1 else 0e0 end)
-   + 3e-1*senior_citizen + 5e-2*tech_support_calls))), 0)/1e4 as churn_probability
+   + 3e-1*senior_citizen + 5e-2*tech_support_calls"""
+
+_CTES: dict[str, str] = {
+    "subscribers": f"""select b.*, case when (c_custkey*48271) % 1000 / 1e3 < churn_probability then 1 else 0 end as churned
+  from (select a.*, round_even(1e4/(1e0+exp(-({LOGIT_SQL}))), 0)/1e4 as churn_probability
   from (select c_custkey,
   concat('SUB_', lpad(cast(c_custkey as varchar), 7, '0')) as subscriber_id,
   timestamp '2024-01-01 00:00:00' as snapshot_date,

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cellrisk.functions.numeric import col_of
+from cellrisk.functions.numeric import col_of, finite
 
 EARTH_RADIUS_KM = 6371.0
 
@@ -29,16 +29,20 @@ def haversine_km(
     return F.lit(2.0 * EARTH_RADIUS_KM) * F.asin(F.sqrt(a))
 
 
+def _cell_id(prefix: str, *indices: Column) -> Column:
+    """NULL as soon as one index is NULL, unlike `concat_ws`."""
+    parts = [F.concat(F.lit("_"), i.cast("string")) for i in indices]
+    return F.concat(F.lit(prefix), *parts)
+
+
 def grid_index(coordinate: Column | str, resolution: int) -> Column:
     """Index of the nearest multiple of 2^-resolution degrees."""
-    return F.rint(col_of(coordinate) * F.lit(float(2**resolution))).cast("bigint")
+    return F.rint(finite(coordinate) * F.lit(float(2**resolution))).cast("bigint")
 
 
 def grid_cell(lat: Column | str, lon: Column | str, resolution: int) -> Column:
-    """Square-degree cell id; indices are whole numbers, so the id has one spelling only."""
-    return F.concat_ws(
-        "_", F.lit(f"g{resolution}"), grid_index(lat, resolution), grid_index(lon, resolution)
-    )
+    """Square-degree cell id; indices are whole numbers, so the id has one spelling only. No place, no cell: NULL."""
+    return _cell_id(f"g{resolution}", grid_index(lat, resolution), grid_index(lon, resolution))
 
 
 def grid_center(index: Column | str, resolution: int) -> Column:
@@ -54,8 +58,8 @@ def hex_edge_km(resolution: int) -> float:
 def hex_axial(lat: Column | str, lon: Column | str, resolution: int) -> tuple[Column, Column]:
     """Axial coordinates on an equal-area cylindrical plane, by cube rounding."""
     edge = hex_edge_km(resolution)
-    x = F.radians(col_of(lon)) * F.lit(EARTH_RADIUS_KM)
-    y = F.sin(F.radians(col_of(lat))) * F.lit(EARTH_RADIUS_KM)
+    x = F.radians(finite(lon)) * F.lit(EARTH_RADIUS_KM)
+    y = F.sin(F.radians(finite(lat))) * F.lit(EARTH_RADIUS_KM)
     q = (F.lit(math.sqrt(3.0) / 3.0) * x - F.lit(1.0 / 3.0) * y) / F.lit(edge)
     r = (F.lit(2.0 / 3.0) * y) / F.lit(edge)
     s = -q - r
@@ -69,7 +73,7 @@ def hex_axial(lat: Column | str, lon: Column | str, resolution: int) -> tuple[Co
 
 def hex_cell(lat: Column | str, lon: Column | str, resolution: int) -> Column:
     q, r = hex_axial(lat, lon, resolution)
-    return F.concat_ws("_", F.lit(f"x{resolution}"), q, r)
+    return _cell_id(f"x{resolution}", q, r)
 
 
 def _ring(corners: list[tuple[Column, Column]]) -> Column:

@@ -26,14 +26,14 @@ def np_round(c: Column | str, digits: int = 0) -> Column:
 
 
 def clip(c: Column | str, lower: float | None = None, upper: float | None = None) -> Column:
-    """Clip that keeps NULL as NULL (`least` and `greatest` would skip it)."""
+    """Clip that keeps NULL as NULL (`least` and `greatest` would skip it); NaN, which Spark puts above all, becomes NULL."""
     x = col_of(c)
     out = x
     if lower is not None:
         out = F.greatest(out, F.lit(lower))
     if upper is not None:
         out = F.least(out, F.lit(upper))
-    return F.when(x.isNotNull(), out)
+    return F.when(x.isNotNull() & ~F.isnan(x), out)
 
 
 def flag(condition: Column) -> Column:
@@ -48,13 +48,13 @@ def cut(
     missing: str = "nan",
     include_lowest: bool = False,
 ) -> Column:
-    """Right-closed interval labels; values outside every interval, and NULL, become `missing`.
+    """Right-closed interval labels; values outside every interval, NULL and NaN become `missing`.
 
     An edge of minus or plus infinity leaves that side open.
     """
     if len(labels) != len(edges) - 1:
         raise ValueError("one label per interval is required")
-    x = col_of(c)
+    x = nan_to_null(c)
     out = None
     for i, label in enumerate(labels):
         low, high = edges[i], edges[i + 1]
@@ -93,12 +93,20 @@ def nan_to_null(c: Column | str) -> Column:
     return F.when(~F.isnan(x), x)
 
 
+def finite(c: Column | str) -> Column:
+    """NULL for NaN and both infinities."""
+    x = col_of(c)
+    return F.when(F.abs(x) < F.lit(float("inf")), x)
+
+
 def steady_mean(c: Column | str, digits: int = 6) -> Column:
     """Mean from whole-number sums of the value scaled by 10^digits.
 
     The result does not depend on the order in which partial sums arrive, so a rerun, another
-    partitioning or a lost executor cannot move a later rounding step.
+    partitioning or a lost executor cannot move a later rounding step. Sums have 38 digits. Values that are
+    NULL or not finite do not count.
     """
-    x = col_of(c)
+    x = finite(c)
     scale = float(10**digits)
-    return F.try_divide(F.sum(F.rint(x * F.lit(scale)).cast("bigint")) / F.lit(scale), F.count(x))
+    total = F.sum(F.rint(x * F.lit(scale)).cast("decimal(28,0)")).cast("double")
+    return F.try_divide(total / F.lit(scale), F.count(x))

@@ -55,8 +55,10 @@ def churn_logit() -> Column:
     )
 
 
-def logit_score(digits: int = 4) -> Column:
-    return np_round(F.lit(1.0) / (F.lit(1.0) + F.exp(-churn_logit())), digits)
+def logit_score(digits: int | None = 4) -> Column:
+    """Probability of the logit; `digits=None` leaves it unrounded, for decisions."""
+    raw = F.lit(1.0) / (F.lit(1.0) + F.exp(-churn_logit()))
+    return raw if digits is None else np_round(raw, digits)
 
 
 def label_at(probability: Column | str, threshold: float = DEFAULT_THRESHOLD) -> Column:
@@ -82,12 +84,18 @@ def revenue_at_risk(probability: Column | str, charges: Column | str = "monthly_
     return np_round(col_of(charges) * col_of(probability), 2)
 
 
-def with_predictions(df, probability: str = "churn_probability", threshold: float = DEFAULT_THRESHOLD):
-    """Add label, tier and revenue at risk to rows that already carry a probability."""
-    return df.withColumns(
+def with_predictions(
+    df, probability: str = "churn_probability", threshold: float = DEFAULT_THRESHOLD, digits: int | None = None
+):
+    """Add label, tier and revenue at risk to rows that already carry a probability.
+
+    All three are decided on the probability as it comes; `digits` rounds the shown one afterwards.
+    """
+    out = df.withColumns(
         {
             "churn_predicted": label_at(probability, threshold),
             "risk_tier": risk_tier(probability),
             "revenue_at_risk": revenue_at_risk(probability),
         }
     )
+    return out if digits is None else out.withColumn(probability, np_round(probability, digits))

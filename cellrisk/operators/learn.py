@@ -129,14 +129,16 @@ def probability_column(column: str = "probability") -> Column:
     return vector_to_array(F.col(column))[1]
 
 
-def score(model: PipelineModel, rows: DataFrame, digits: int = 4) -> DataFrame:
-    scored = model.transform(rows).withColumn("churn_probability", np_round(probability_column(), digits))
+def score(model: PipelineModel, rows: DataFrame, digits: int | None = 4) -> DataFrame:
+    """Adds churn_probability; `digits=None` leaves it unrounded, for decisions."""
+    raw = probability_column()
+    scored = model.transform(rows).withColumn("churn_probability", raw if digits is None else np_round(raw, digits))
     return scored.drop("features", "rawPrediction", "probability", "prediction")
 
 
 def batch_score(bundle: ModelBundle, rows: DataFrame) -> DataFrame:
     """Probability, label, tier, revenue at risk and time of scoring."""
-    scored = with_predictions(score(bundle.model, rows), threshold=bundle.threshold)
+    scored = with_predictions(score(bundle.model, rows, digits=None), threshold=bundle.threshold, digits=4)
     return scored.withColumn("scored_at", F.current_timestamp())
 
 

@@ -33,7 +33,7 @@ def add_cells(
 def cell_stats(df: DataFrame, cell: str, means: Mapping[str, str] = CELL_MEANS, digits: int = 6) -> DataFrame:
     """Row count and means per cell. Partial sums are combined before the shuffle, so a cell with a
     third of all rows sends one small row per task."""
-    return df.groupBy(cell).agg(
+    return df.where(F.col(cell).isNotNull()).groupBy(cell).agg(
         F.count(cell).alias("cell_subscriber_count"),
         *[np_round(steady_mean(c), digits).alias(name) for c, name in means.items() if c in df.columns],
     )
@@ -54,7 +54,7 @@ def leave_one_out_rate(df: DataFrame, cell: str, label: str = "churned", name: s
 
     Sums per cell are joined back, where a window would gather every row of a hot cell in one task.
     """
-    sums = df.groupBy(cell).agg(
+    sums = df.where(F.col(cell).isNotNull()).groupBy(cell).agg(
         F.sum(F.col(label).cast("bigint")).alias("_positives"), F.count(label).alias("_n")
     )
     others = F.col("_n") - F.when(F.col(label).isNotNull(), 1).otherwise(0)
@@ -74,7 +74,7 @@ def with_cell_context(rows: DataFrame, base: DataFrame, cell: str, leave_one_out
     """
     sums = [F.sum(F.col(label).cast("bigint")).alias("_positives"), F.count(label).alias("_labelled")]
     means = [np_round(steady_mean(c), 6).alias(n) for c, n in CELL_MEANS.items() if c in base.columns]
-    stats = base.groupBy(cell).agg(F.count(cell).alias("cell_subscriber_count"), *means, *sums)
+    stats = base.where(F.col(cell).isNotNull()).groupBy(cell).agg(F.count(cell).alias("cell_subscriber_count"), *means, *sums)
     joined = join_cells(rows, stats, cell)
     if leave_one_out:
         others = F.col("_labelled") - F.when(F.col(label).isNotNull(), 1).otherwise(0)

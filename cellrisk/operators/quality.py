@@ -9,6 +9,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellrisk.functions.numeric import nan_to_null
+
 ERROR, WARNING = "ERROR", "WARNING"
 SMALL_SHARE = 0.01
 EXAMPLES = 5
@@ -70,6 +72,11 @@ class Suite:
     def _has(self, column: str) -> bool:
         return column in self.df.columns
 
+    def _known(self, column: str) -> Column:
+        """The column with NaN as NULL."""
+        kind = self.df.schema[column].dataType.typeName()
+        return nan_to_null(column) if kind in ("double", "float") else F.col(column)
+
     def _count(self, name: str, condition: Column) -> Column:
         self._aggs[name] = F.count_if(F.coalesce(condition, F.lit(False)))
         return F.col(name)
@@ -84,7 +91,7 @@ class Suite:
 
     def expect_no_nulls(self, columns: Sequence[str]) -> Suite:
         for c in filter(self._has, columns):
-            bad = self._count(f"null:{c}", F.col(c).isNull())
+            bad = self._count(f"null:{c}", self._known(c).isNull())
             share = F.format_string("%.2f%%", bad * 100.0 / F.col("n_rows"))
             text = F.concat(_thousands(bad), F.lit(" nulls found ("), share, F.lit(")"))
             self._results.append(
@@ -93,9 +100,9 @@ class Suite:
         return self
 
     def expect_between(self, column: str, low: float, high: float) -> Suite:
-        """Inclusive; NULL passes; fewer than one percent of bad rows is a warning only."""
+        """Inclusive; NULL and NaN pass; fewer than one percent of bad rows is a warning only."""
         if self._has(column):
-            bad = self._count(f"range:{column}", (F.col(column) < low) | (F.col(column) > high))
+            bad = self._count(f"range:{column}", (self._known(column) < low) | (self._known(column) > high))
             good, text = f"All values in [{low}, {high}]", f" values outside [{low}, {high}]"
             self._results.append(
                 Measure(

@@ -65,7 +65,6 @@ CONTEXT_DEFAULTS = {
     "cell_avg_monthly_charges": 60.0,
     "cell_churn_rate": 0.15,
 }
-MAX_REQUEST_ROWS = 1000
 
 
 def request_errors(df: DataFrame) -> Column:
@@ -76,7 +75,7 @@ def request_errors(df: DataFrame) -> Column:
     for name, (low, high) in RANGES.items():
         if name not in have:
             continue
-        bad = F.col(name) < F.lit(low)
+        bad = (F.col(name) < F.lit(low)) | F.isnan(name)
         if high is not None:
             bad = bad | (F.col(name) > F.lit(high))
         checks.append((bad, f"{name}: out of range"))

@@ -27,7 +27,8 @@ def risk_grid(df: DataFrame, cell: str, min_subscribers: int = MIN_CELL_SIZE) ->
         else F.col("contract_type") == "month-to-month"
     )
     grid = (
-        df.groupBy(cell)
+        df.where(F.col(cell).isNotNull())
+        .groupBy(cell)
         .agg(
             F.count(cell).alias("subscriber_count"),
             F.sum(F.col("churn_predicted").cast("bigint")).alias("predicted_churners"),
@@ -58,7 +59,8 @@ def with_tier(grid: DataFrame, probability: str = "avg_churn_probability") -> Da
 def observed_grid(df: DataFrame, cell: str, min_subscribers: int = MIN_CELL_SIZE) -> DataFrame:
     """Observed label rate per cell with revenue at risk = total charges x rate."""
     grid = (
-        df.groupBy(cell)
+        df.where(F.col(cell).isNotNull())
+        .groupBy(cell)
         .agg(
             F.count(cell).alias("n_subscribers"),
             F.sum(F.col("churned").cast("bigint")).alias("n_churned"),

@@ -48,6 +48,6 @@ def write_risk_map(grid: DataFrame, path: str) -> None:
     sinks.write_geojson(sinks.geojson_features(grid, geometry, grid.columns), f"{path}/risk_grid.geojsonl")
 
 
-def flagship(spark: SparkSession, sf_dir: str, resolution: int, min_subscribers: int, k: int = 100) -> DataFrame:
+def flagship(spark: SparkSession, sf_dir: str, resolution: int, min_subscribers: int) -> DataFrame:
     grid = risk_map(scored_subscribers(spark, sf_dir), resolution, min_subscribers)
-    return grid.orderBy(F.col("estimated_revenue_at_risk").desc(), F.col("cell")).limit(k)
+    return grid.orderBy(F.col("estimated_revenue_at_risk").desc(), F.col("cell"))

@@ -20,6 +20,8 @@ COUNTRY_MCC = {
     "GB": [234, 235],
 }
 INDONESIA_BOUNDS = {"lat_min": -11.0, "lat_max": 6.0, "lon_min": 95.0, "lon_max": 141.0}
+#: Boxes that apply unless others are given; a country without one is filtered by its network codes alone.
+COUNTRY_BOUNDS = {"ID": INDONESIA_BOUNDS}
 RADIO_GENERATION = {"GSM": "2G", "UMTS": "3G", "LTE": "4G", "NR": "5G"}
 TOWER_RENAMES = {
     "net": "mnc",
@@ -79,5 +81,6 @@ def ingest_towers(
     partitions: int | None = None,
 ) -> DataFrame:
     raw = read_tower_csv(spark, path, partitions)
-    kept = filter_bbox(filter_country(raw, country), bounds or INDONESIA_BOUNDS, "lat", "lon")
-    return clean_towers(kept)
+    box = COUNTRY_BOUNDS.get(country) if bounds is None else bounds
+    kept = filter_country(raw, country)
+    return clean_towers(filter_bbox(kept, box, "lat", "lon") if box else kept)

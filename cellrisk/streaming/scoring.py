@@ -34,7 +34,7 @@ def with_cell_context(rows: DataFrame, grid: DataFrame | None, resolution: int =
 
 
 def logit_scorer(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("churn_probability", logit_score())
+    return rows.withColumn("churn_probability", logit_score(digits=None))
 
 
 def score_rows(
@@ -43,7 +43,7 @@ def score_rows(
     """Accepted rows through defaults, features and score. Works on a batch and on a stream alike."""
     good = requests.accepted(requests.check_rows(rows))
     completed = requests.with_defaults(with_cell_context(good, grid))
-    scored = with_predictions(scorer(all_features(completed)), threshold=threshold)
+    scored = with_predictions(scorer(all_features(completed)), threshold=threshold, digits=4)
     return scored.withColumn("scored_at", F.current_timestamp()).select(*RESULT_COLUMNS)
 
 
