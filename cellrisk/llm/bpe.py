@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from cellrisk.llm.common import map_batches
 
-#: Distinct pieces whose ids a Python worker remembers; beyond, it forgets all and goes on.
+#: Distinct pieces whose ids a Python worker remembers; beyond, it forgets those not met since the last time.
 REMEMBERED = 300_000
-#: Likewise prefixes and pairs of tokens; and the bytes up to which pieces share their prefixes.
+#: Prefixes and pairs of tokens that it remembers; beyond, it forgets all. And the bytes up to which pieces share their prefixes.
 STORED = 600_000
 SHARED = 64
+#: Tokens are looked for by the last so many bytes of a prefix.
+ENDING = 4
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -58,7 +60,7 @@ def adjacent(a: int, b: int, halves: list, joined: dict) -> bool:
 
 def merge_tables(ranks: dict[bytes, int]) -> dict:
     """What encoding needs, built once: bytes by id, the halves of each token, the id of each such pair, and the
-    lengths of tokens by their last two bytes. `known` and `fits` remember pieces and pairs while a worker runs.
+    lengths of tokens by their last bytes. `known` and `fits` remember pieces and pairs while a worker runs.
 
     Tokens come in the order of their ranks; the halves of a token are the one cut into earlier tokens that may
     stand side by side before the token exists. Bytes, and tokens that no merge reaches, have none.
@@ -75,11 +77,23 @@ def merge_tables(ranks: dict[bytes, int]) -> dict:
     texts: list = [b""] * size
     for token, rank in ranks.items():
         texts[rank] = token
-    lengths: dict[bytes, set[int]] = {}
+    longer: dict[bytes, set[int]] = {}
     for token in ranks:
-        lengths.setdefault(token[-2:], {1}).add(len(token))
-    ends = {end: tuple(sorted(found, reverse=True)) for end, found in lengths.items()}
-    return {"ranks": ranks, "texts": texts, "halves": halves, "joined": joined, "lengths": ends, "known": {}, "lasts": {}, "fits": {}}
+        if len(token) > ENDING:
+            longer.setdefault(token[-ENDING:], set()).add(len(token))
+    ends = {end: tuple(sorted(found, reverse=True)) for end, found in longer.items()}
+    return {"ranks": ranks, "texts": texts, "halves": halves, "joined": joined, "longer": ends, "ends": {}, "known": {}, "before": {}, "lasts": {}, "fits": {}}
+
+
+def ending(end: bytes, tables: dict) -> tuple[int, ...]:
+    """Lengths, longest first, that a token may have at the end of a prefix whose last bytes (`ENDING` at most) are `end`."""
+    found = tables["ends"].get(end)
+    if found is None:
+        if len(tables["ends"]) >= STORED:
+            tables["ends"].clear()
+        short = tuple(n for n in range(len(end), 0, -1) if end[-n:] in tables["ranks"])
+        found = tables["ends"][end] = tables["longer"].get(end, ()) + short
+    return found
 
 
 class Prefixes:
@@ -95,11 +109,11 @@ class Prefixes:
 
     def append(self, more: bytes) -> None:
         t = self.tables
-        rank_of, lengths, halves, joined, fits, last = t["ranks"].get, t["lengths"].get, t["halves"], t["joined"], t["fits"], self.last
+        rank_of, halves, joined, fits, last = t["ranks"].get, t["halves"], t["joined"], t["fits"], self.last
         self.data += more
         data = bytes(self.data)
         for end in range(len(last), len(data) + 1):
-            for length in lengths(data[max(0, end - 2) : end], (1,)):
+            for length in ending(data[max(0, end - ENDING) : end], t):
                 begin = end - length
                 if begin < 0:
                     continue
@@ -151,7 +165,7 @@ def encode_piece(piece: bytes, tables: dict) -> tuple[int, ...]:
         coder = Prefixes(tables)
         coder.append(piece)
         return tuple(coder.ids())
-    lasts, fits, rank_of, lengths = tables["lasts"], tables["fits"], tables["ranks"].get, tables["lengths"].get
+    lasts, fits, rank_of, ends = tables["lasts"], tables["fits"], tables["ranks"].get, tables["ends"].get
     if len(lasts) > STORED:
         lasts.clear()
     if len(fits) > STORED:
@@ -162,7 +176,7 @@ def encode_piece(piece: bytes, tables: dict) -> tuple[int, ...]:
         have -= 1
     for end in range(have + 1, size + 1):
         prefix = piece[:end]
-        for length in lengths(prefix[-2:], (1,)):
+        for length in ends(prefix[-ENDING:]) or ending(prefix[-ENDING:], tables):
             token = rank_of(prefix[-length:]) if length <= end else None
             if token is None:
                 continue
@@ -186,14 +200,20 @@ def encode_piece(piece: bytes, tables: dict) -> tuple[int, ...]:
 
 
 def encode_text(text: str, matches, tables: dict) -> list[int]:
-    """Ids of a whole text; `matches` finds the pattern's pieces, each coded by itself. Frequent pieces are remembered."""
-    known, out = tables["known"], []
+    """Ids of a whole text; `matches` finds the pattern's pieces, each coded by itself.
+
+    Pieces are remembered in two generations: when the newer is full, it becomes the older, and what was met in neither goes.
+    """
+    known, before, out = tables["known"], tables["before"], []
     for piece in matches(text):
         ids = known.get(piece)
         if ids is None:
             if len(known) >= REMEMBERED:
-                known.clear()
-            ids = encode_piece(piece.encode("utf-8", "surrogatepass"), tables)
+                tables["before"], tables["known"] = known, {}
+                known, before = tables["known"], known
+            ids = before.get(piece)
+            if ids is None:
+                ids = encode_piece(piece.encode("utf-8", "surrogatepass"), tables)
             if len(piece) <= 64:
                 known[piece] = ids
         out.extend(ids)
@@ -237,9 +257,10 @@ def digests(docs: DataFrame, vocabulary: str, pattern: str, keep: tuple[str, ...
 
     def columns(rows, tables):
         sha = lambda data: hashlib.sha256(data).hexdigest()
+        decimal = (tables.get("decimals") or tables.setdefault("decimals", list(map(str, range(len(tables["texts"])))))).__getitem__
         return [
             pa.array(list(map(len, rows)), pa.int64()),
-            pa.array([sha(",".join(map(str, ids)).encode()) for ids in rows], pa.string()),
+            pa.array([sha(",".join(map(decimal, ids)).encode()) for ids in rows], pa.string()),
             pa.array([sha(decode_ids(ids, tables)) for ids in rows], pa.string()),
         ]
 
