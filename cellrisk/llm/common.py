@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +35,15 @@ def release(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that are stored by now.
+
+    It does so when the driver collects its garbage, which by default is every half hour.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def bounded_batches(spark: SparkSession, rows: int = 1000, mb: int = 16) -> None:
     """Arrow batches of at most `rows` rows and about `mb` MB (one longer text makes a batch of its own)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellrisk.llm.common import bounded_batches, release, store, utf8
+from cellrisk.llm.common import bounded_batches, free_shuffles, release, store, utf8
 from cellrisk.llm.components import components
 from cellrisk.llm.hashing import shingles
 
@@ -21,6 +21,8 @@ SIMILAR = 75
 BITS = 23
 FREQUENT = 1 << 19
 RUN = 1 << 22
+#: Parity bits of a set: those of two sets differ in at most as many bits as the sets differ in shingles.
+PARITY = 2048
 #: Rounds in which a region's pivot is a document; what is then left of a region is compared pair by pair.
 ROUNDS = 3
 
@@ -48,6 +50,12 @@ def home_pivots(found: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return found[order]
 
 
+def parity(found: np.ndarray) -> np.ndarray:
+    """Bit i: whether an odd number of the shingles falls on i."""
+    odd = np.bincount((found & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _survey(docs: DataFrame) -> DataFrame:
     """Per row its set's size and fingerprint; and, marked by a null size, how often shingles occurred in runs of texts.
 
@@ -92,7 +100,7 @@ def _frequent(survey: DataFrame) -> np.ndarray:
 
 
 def _representatives(docs: DataFrame, frequent) -> DataFrame:
-    """One row per distinct set: a doc_id that has it, size, fingerprint, pivots, and how many of them are not frequent."""
+    """One row per distinct set: a doc_id that has it, size, fingerprint, pivots, how many of them are not frequent, parity bits."""
 
     def pivots(batches):
         bits = frequent.value
@@ -103,14 +111,16 @@ def _representatives(docs: DataFrame, frequent) -> DataFrame:
             rare = [int((~((bits[r >> np.uint64(67 - BITS)] >> (r >> np.uint64(64 - BITS) & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)).sum()) for r in rows]
             cuts = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
             flat = np.concatenate(rows).view(np.int64) if rows else np.zeros(0, np.int64)
+            odd = pa.array([parity(found[i]) for i in some], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(some, pa.int64())), pa.array([len(found[i]) for i in some], pa.int32()),
-                 pa.array([fingerprint(found[i]) for i in some], pa.binary()), pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat)), pa.array(rare, pa.int32())],
-                ["doc_id", "n", "fp", "pivots", "rare"],
+                 pa.array([fingerprint(found[i]) for i in some], pa.binary()), pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat)), pa.array(rare, pa.int32()), odd],
+                ["doc_id", "n", "fp", "pivots", "rare", "parity"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long"), utf8().alias("_bytes")).mapInArrow(pivots, "doc_id long, n int, fp binary, pivots array<long>, rare int")
-    one = rows.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("pivots").alias("pivots"), F.first("rare").alias("rare"))
+    rows = docs.select(F.col("doc_id").cast("long"), utf8().alias("_bytes")).mapInArrow(pivots, "doc_id long, n int, fp binary, pivots array<long>, rare int, parity array<long>")
+    same = [F.first(c).alias(c) for c in ("n", "pivots", "rare", "parity")]
+    one = rows.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), *same)
     return one.withColumn("rid", F.monotonically_increasing_id())
 
 
@@ -186,6 +196,19 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(members, "rid long, members array<long>")
 
 
+def _within(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
+    """The pairs (a, b) that may have `least` hundredths of their shingles in common, by sizes and parity bits.
+
+    The bound is exact: sets that are that similar differ in at most (100 - least) / (100 + least) of the sum of their
+    sizes, and their parity bits in no more. What is dropped here need not have its sets fetched.
+    """
+    side = lambda c: reps.select(F.col("rid").alias(c), F.col("n").cast("long").alias(f"_n{c}"), F.col("parity").alias(f"_p{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    differ = F.aggregate(F.zip_with("_pa", "_pb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
+    sizes = F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * least
+    return both.where(sizes).where(differ * (100 + least) <= (F.col("_na") + F.col("_nb")) * (100 - least)).select("a", "b")
+
+
 def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, common, whole): sizes of intersection and union of each pair's sets."""
     left = pairs.join(sets.select(F.col("rid").alias("a"), F.col("members").alias("_a")), "a")
@@ -214,18 +237,23 @@ def _star_links(docs: DataFrame, reps: DataFrame) -> list[DataFrame]:
     Within a region the pivot is a document p. Members within the distance t = 0.25 of p link to it: its ball. A member y
     beyond it can be similar to some x of the ball only if d(y, p) - d(x, p) <= t (triangle inequality), so only those
     up to 2t away, and not connected with p already, are compared with the ball, and only within that window. What lies
-    outside the ball is joined among itself in the next round, with a new pivot.
+    outside the ball is joined among itself in the next round, with a new pivot. Distances of more than 2t are not needed,
+    so pairs that sizes or parity bits show to be that far apart are not measured.
     """
+    spark = docs.sparkSession
     rows = store(_regions(reps), "regions")
     wanted = rows.select("rid").distinct().join(reps.select("rid", "doc_id", "fp"), "rid")
     sets = store(_sets(docs, wanted), "sets")
+    free_shuffles(spark)
     found: list[DataFrame] = []
     for _ in range(ROUNDS):
         star = rows.where("rid != pivot").select(F.col("rid").alias("a"), F.col("pivot").alias("b")).distinct()
+        star = store(_within(star, reps, 2 * SIMILAR - 100), "stars")
         known = store(_measured(star, sets), "stars")
+        free_shuffles(spark)
         found.append(known.where(_linked()).select("a", "b"))
         far = known.select(F.col("a").alias("rid"), F.col("b").alias("pivot"), "common", "whole")
-        placed = rows.where("rid != pivot").join(far, ["rid", "pivot"])
+        placed = rows.where("rid != pivot").join(far, ["rid", "pivot"], "left").fillna({"common": 0, "whole": 1})
         placed = store(placed, "regions")
         roots = components(_union(found))
         outside = placed.where(~_linked())
@@ -234,17 +262,18 @@ def _star_links(docs: DataFrame, reps: DataFrame) -> list[DataFrame]:
         apart = apart.where("coalesce(_r, rid) != coalesce(_p, pivot)").drop("_r", "_p")
         window = F.expr("4 * (x.common * y.whole - y.common * x.whole) <= x.whole * y.whole")
         near = apart.alias("y").join(placed.where(_linked()).alias("x"), "u").where(window & _possible("x", "y"))
-        edge = store(near.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct(), "edges")
+        edge = store(_within(near.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct(), reps, SIMILAR), "edges")
         found.append(store(_measured(edge, sets).where(_linked()).select("a", "b"), "edges"))
         again = outside.groupBy("u").agg(F.count("*").alias("_n"), F.min("rid").alias("_new")).where("_n > 1")
         after = store(outside.join(again, "u").select("u", "rid", "n", "at", F.col("_new").alias("pivot")), "regions")
         release(rows)
         release(placed)
+        free_shuffles(spark)
         rows = after
         if rows.isEmpty():
             return found
     left = rows.alias("x").join(rows.alias("y"), "u").where("x.rid < y.rid").where(_possible("x", "y"))
-    left = store(left.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct(), "edges")
+    left = store(_within(left.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct(), reps, SIMILAR), "edges")
     return [*found, store(_measured(left, sets).where(_linked()).select("a", "b"), "edges")]
 
 

@@ -125,6 +125,16 @@ def test_groups_of_all_documents(spark, sf_dir, whole):
     assert got == collections.Counter(brute.near_groups(whole))
 
 
+def test_parity_bits_differ_no_more_than_sets():
+    rng = np.random.default_rng(3)
+    for size, other in ((1, 1), (5, 300), (700, 690), (4000, 3000)):
+        pool = rng.integers(0, 1 << 63, size=size + other, dtype=np.uint64)
+        one, two = np.unique(pool[:size]), np.unique(pool[size // 2 : size // 2 + other])
+        bits = np.bitwise_count((jaccard.parity(one) ^ jaccard.parity(two)).view(np.uint64)).sum()
+        assert bits <= len(np.setxor1d(one, two))
+        assert not (jaccard.parity(one) ^ jaccard.parity(one[::-1])).any()
+
+
 def test_one_of_each_group_stays(docs, none):
     kept = [r["doc_id"] for r in jaccard.without_copies(docs).select("doc_id").collect()]
     assert kept.count(9) == 1 and 2 not in kept and 1 in kept and {4, 5, 6} <= set(kept)
