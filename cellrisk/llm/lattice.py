@@ -47,6 +47,8 @@ _STEPS = shortest_vectors()
 PROBES = 4
 BLOCK = 512
 CROWD = 8
+#: Cells are made smaller freely down to this chance that a pair at the threshold meets in one table.
+HIT = 0.05
 
 
 def projection(table: int, dims: int, seed: int) -> np.ndarray:
@@ -55,38 +57,71 @@ def projection(table: int, dims: int, seed: int) -> np.ndarray:
 
 def cells(unit: np.ndarray, table: int, scale: float, seed: int, probes: int = PROBES) -> np.ndarray:
     """Keys [row, 1 + probes]: the lattice point a row decodes to, then the neighbouring points it lies closest to."""
-    y = scale * unit @ projection(table, unit.shape[1], seed)
+    return _keys(scale * unit @ projection(table, unit.shape[1], seed), table * 1000003 + unit.shape[1], probes)
+
+
+def _keys(y: np.ndarray, start: int, probes: int = PROBES) -> np.ndarray:
     point = nearest_e8(y)
     gain = (y - point / 2) @ _STEPS.T
     near = np.argpartition(-gain, probes, axis=1)[:, :probes]
     points = np.concatenate([point[:, None, :], point[:, None, :] + _STEPS[near]], axis=1)
-    key = np.full(points.shape[:2], table * 1000003 + unit.shape[1], dtype=_U)
+    key = np.full(points.shape[:2], start, dtype=_U)
     for k in range(8):
         key = (key ^ (points[:, :, k].astype(_U) * _U(0x9E3779B97F4A7C15))) * _U(0xFF51AFD7ED558CCD)
         key ^= key >> _U(32)
     return key.view(np.int64)
 
 
+def hit_chance(scale: float, cosine: float, seed: int = 7, least: int = 2000, pairs: int = 20000, rounds: int = 50) -> float:
+    """Chance that a pair of this cosine meets in one table, less two standard errors: 0 if next to none meets.
+
+    A pair's two projections are normal and correlated by its cosine in each of 8 coordinates, whatever the dimensions, so
+    pairs are drawn there, until `least` have met or `rounds` draws are made.
+    """
+    rng, met, drawn = np.random.default_rng(seed), 0, 0
+    while met < least and drawn < rounds * pairs:
+        a, b = rng.normal(size=(2, pairs, 8))
+        one, two = _keys(scale * a, 0), _keys(scale * (cosine * a + np.sqrt(max(0.0, 1 - cosine**2)) * b), 0)
+        met += int(((one == two[:, :1]).any(axis=1) | (two == one[:, :1]).any(axis=1)).sum())
+        drawn += pairs
+    return max(0.0, met - 2 * np.sqrt(met)) / drawn
+
+
+def share_chance(scale: float, dims: int, seed: int = 7, trials: int = 2000) -> float:
+    """Chance that two random vectors decode to one cell: counted, or by density where too few of the trials do.
+
+    Cells of volume 1 against a normal density of deviation `scale` in 8 dimensions give (4 pi scale^2)^-4.
+    """
+    unit = np.random.default_rng(seed).normal(size=(trials, dims))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    same = np.unique(cells(unit, 0, scale, seed)[:, 0], return_counts=True)[1]
+    shared = int((same * (same - 1)).sum())
+    return shared / (trials * (trials - 1)) if shared >= 200 else (4 * np.pi * scale**2) ** -4.0
+
+
 def plan(count: int, dims: int, cosine: float, recall: float, seed: int = 7, trials: int = 2000) -> tuple[float, int]:
     """(scale, tables): cells small enough for `CROWD` chance neighbours, tables enough for the recall at the threshold.
 
-    Both are measured on random unit vectors of these dimensions, and on pairs of them exactly at the threshold.
+    Smaller cells need more tables. Once a pair at the threshold meets with a chance below `HIT`, cells shrink further only
+    as long as that makes less work, tables times (`BLOCK` + neighbours); fuller cells are cut into blocks. The
+    number of tables always follows from the chance that was measured.
     """
-    rng = np.random.default_rng(seed)
-    a, b = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in rng.normal(size=(2, trials, dims)))
-    if dims > 1:
-        b -= (a * b).sum(axis=1, keepdims=True) * a
-        b /= np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-12)
-    b = cosine * a + np.sqrt(1 - cosine**2) * b
+    best = None
     for scale in np.arange(0.4, 4.0, 0.1):
-        one, two = cells(a, 0, scale, seed), cells(b, 0, scale, seed)
-        same = np.unique(one[:, 0], return_counts=True)[1]
-        crowd = count * ((same * (same - 1)).sum() / (trials * (trials - 1)))
-        met = (one == two[:, :1]).any(axis=1) | (two == one[:, :1]).any(axis=1)
+        hit = min(hit_chance(scale, cosine, seed), 0.999)
+        if not hit:
+            break
+        crowd = count * share_chance(scale, dims, seed, trials)
+        tables = max(2, int(np.ceil(np.log(1 - recall) / np.log(1 - hit))))
+        work = tables * (BLOCK + crowd)
+        if best and hit < HIT and work >= best[0]:
+            break
+        best = work, float(scale), tables
         if crowd <= CROWD:
             break
-    hit = min(max(met.mean(), 0.02), 0.999)
-    return float(scale), max(2, int(np.ceil(np.log(1 - recall) / np.log(1 - hit))))
+    if best is None:
+        raise ValueError(f"pairs of cosine {cosine} do not meet in any cells")
+    return best[1:]
 
 
 def _units(values) -> np.ndarray:
@@ -157,10 +192,14 @@ def _links_in_blocks(blocks: DataFrame, vectors: DataFrame, cosine: float, scale
 
     def meets(one, two, tables):
         """Whether row pairs meet in any of the first `tables` tables."""
-        found = np.zeros(len(one), dtype=bool)
+        open_ = np.arange(len(one))
         for table in range(tables):
-            x, y = cells(one, table, scale, seed), cells(two, table, scale, seed)
-            found |= (x == y[:, :1]).any(axis=1) | (y == x[:, :1]).any(axis=1)
+            if not len(open_):
+                break
+            x, y = cells(one[open_], table, scale, seed), cells(two[open_], table, scale, seed)
+            open_ = open_[~((x == y[:, :1]).any(axis=1) | (y == x[:, :1]).any(axis=1))]
+        found = np.ones(len(one), dtype=bool)
+        found[open_] = False
         return found
 
     def told(outer, inner, table, rid, weight, side, unit):

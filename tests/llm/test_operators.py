@@ -313,6 +313,22 @@ def test_awkward_vectors(spark):
     assert lattice.near_vectors(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("count", [10**4, 10**6, 10**7, 10**8, 10**9])
+def test_planned_tables_keep_the_recall_at_any_count(count):
+    scale, tables = lattice.plan(count, 64, 0.9, 0.97)
+    rng = np.random.default_rng(11)
+    a, b = rng.normal(size=(2, 20000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.9 * a + np.sqrt(1 - 0.9**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    chances = []
+    for table in range(4):
+        x, y = lattice.cells(a, table, scale, 3), lattice.cells(b, table, scale, 3)
+        chances.append(((x == y[:, :1]).any(axis=1) | (y == x[:, :1]).any(axis=1)).mean())
+    assert 1 - (1 - np.mean(chances)) ** tables >= 0.95
+    assert tables * (lattice.BLOCK + count * lattice.share_chance(scale, 64)) < 3e5
+
+
 def test_decoding_finds_the_nearest_lattice_point():
     y = np.random.default_rng(10).normal(size=(500, 8)) * 3
     point = lattice.nearest_e8(y)
