@@ -12,6 +12,8 @@ from cellrisk.llm.common import WORD, store, table
 GOLDEN = 2654435769
 CHUNK = 4096
 KEY_BITS = 60
+#: Sources whose target is below this many blocks take their target to the word: slots are too coarse for them.
+FEW = 64
 
 
 def word_count(col: str = "text") -> Column:
@@ -107,7 +109,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3,
 
     A source's documents, shuffled by a hash of doc_id, form a stream of words that is read up to `epochs` times and
     cut into blocks of equally many words; the block with a slot's rank fills the slot. The mix is as long as all
-    documents, in about `slots` slots, so every source comes within a block or two of its target.
+    documents, in about `slots` slots, so every source comes within a block or two of its target. Blocks grow with the
+    corpus: a source with a target below `FEW` blocks may get no slot or one too many, so it takes its target, rounded to whole
+    words, from its stream instead, the last block in part.
     A document without words (null or blank text) has size 0 and gives nothing; a null source is a source of its
     own; rows that repeat count each. No documents: no rows. Columns of other names play no part.
     """
@@ -126,10 +130,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3,
     pieces = pieces.withColumn("_a", begin).withColumn("_z", F.col("_a") + F.col("size"))
     first, last = F.floor(F.col("_a") / block), F.floor((F.col("_z") - 1) / block)
     pieces = pieces.withColumn("_block", F.explode(F.sequence(first, last)))
-    words = F.least(F.col("_z"), (F.col("_block") + 1) * block) - F.greatest(F.col("_a"), F.col("_block") * block)
+    from_, to = F.greatest(F.col("_a"), F.col("_block") * block), F.least(F.col("_z"), (F.col("_block") + 1) * block)
+    by_slots = F.when(F.col("_fr").isNull(), F.lit(0)).otherwise(to - from_)
+    by_target = F.greatest(F.least(to, F.round("target").cast("long")) - from_, F.lit(0))
+    words = F.when(F.col("target") < FEW * block, by_target).otherwise(by_slots)
     pieces = pieces.join(filled, F.col("source").eqNullSafe(F.col("_fs")) & (F.col("_block") == F.col("_fr")), "left")
     kept = ["doc_id", "source", "size", "source_size", "target", "_start"]
-    taken = pieces.groupBy(*kept).agg(F.sum(F.when(F.col("_fr").isNull(), F.lit(0)).otherwise(words)).cast("long").alias("taken"))
+    taken = pieces.groupBy(*kept).agg(F.sum(words).cast("long").alias("taken"))
     empty = stream.where("size = 0").select(*kept, F.lit(0).cast("long").alias("taken"))
     return taken.unionByName(empty).drop("_start")
 

@@ -232,6 +232,20 @@ def test_mix_comes_near_targets_and_agrees_with_itself(spark, sf_dir):
     assert (abs(sums.taken - sums.target) <= 0.02 * sums.target + 5).all()
 
 
+def test_small_sources_beside_a_hot_one_come_near_their_targets(spark):
+    small = {f"s{i:03d}": 1 + i % 9 for i in range(60)}
+    rows = [(i, "w " * 20000, "hot") for i in range(60)] + [(1000 + i, "w " * n, s) for i, (s, n) in enumerate(small.items())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for slots in (64, 1 << 17):
+        taken = collections.Counter()
+        for r in mixing.mix(docs, slots=slots).collect():
+            taken[r["source"]] += r["taken"]
+        want = brute.targets({"hot": 1200000, **small})
+        assert all(taken[s] == round(want[s]) for s in small)
+        assert abs(taken["hot"] - want["hot"]) <= 2 * 1200300 / slots + len(small) * 3
+    assert {r["source"] for r in mixing.repeated(docs).select("source").distinct().collect()} == {"hot", *small}
+
+
 def test_repeated_rows_keep_columns(docs):
     out = mixing.repeated(docs)
     assert out.columns == docs.columns and out.where("doc_id in (4, 5, 6)").count() == 3
