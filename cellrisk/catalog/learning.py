@@ -10,8 +10,11 @@ from cellrisk.operators import learn, splits
 from cellrisk.session import scratch_path
 from cellrisk.sources.testbed import subscribers
 
-# Small settings, so that the queries show the operators and not minutes of boosting.
-ITERATIONS, DEPTH = 5, 4
+# Production settings: rounds at most (boosting stops early on validation rows), depth and step; twenty trials of tuning.
+ITERATIONS, DEPTH, STEP = 500, 6, 0.05
+# Boosting stops when so many rounds have not lowered the validation loss.
+PATIENCE = 50
+TRIAL_DEPTHS, TRIAL_STEPS = (3, 4, 5, 6, 8), (0.01, 0.03, 0.08, 0.2)
 MODEL_COLUMNS = [
     "subscriber_id", "senior_citizen", "contract_type", "payment_method", "internet_service", "tenure_months",
     "monthly_charges", "total_charges", "data_usage_gb", "call_minutes_monthly", "tech_support_calls", "rsrp_avg",
@@ -23,8 +26,8 @@ def rows(spark, sf_dir):
     return subscribers(spark, sf_dir, MODEL_COLUMNS)
 
 
-def small_trees(validation: str | None = "is_validation"):
-    return learn.boosted_trees(iterations=ITERATIONS, depth=DEPTH, validation=validation)
+def trees(validation: str | None = "is_validation"):
+    return learn.boosted_trees(iterations=ITERATIONS, depth=DEPTH, step=STEP, validation=validation, patience=PATIENCE)
 
 
 @query("seeded_sample")
@@ -100,7 +103,7 @@ def oversample_counts(spark, sf_dir):
 
 def _trained(spark, sf_dir):
     marked = splits.stratified_split(rows(spark, sf_dir), "subscriber_id")
-    bundle = learn.fit_bundle(marked.filter(~F.col("is_test")).drop("is_test"), "subscriber_id", small_trees())
+    bundle = learn.fit_bundle(marked.filter(~F.col("is_test")).drop("is_test"), "subscriber_id", trees())
     return bundle, marked.filter("is_test").drop("is_test")
 
 
@@ -112,23 +115,23 @@ def train_gbt(spark, sf_dir):
 
 @query("model_compare")
 def model_compare(spark, sf_dir):
-    return learn.compare_models(rows(spark, sf_dir), "subscriber_id", iterations=ITERATIONS)
+    return learn.compare_models(rows(spark, sf_dir), "subscriber_id", iterations=ITERATIONS, depth=DEPTH, step=STEP, patience=PATIENCE)
 
 
 @query("tune")
 def tune(spark, sf_dir):
-    return learn.tune(rows(spark, sf_dir), "subscriber_id", depths=(2, 4), steps=(0.1, 0.2), iterations=ITERATIONS)
+    return learn.tune(rows(spark, sf_dir), "subscriber_id", depths=TRIAL_DEPTHS, steps=TRIAL_STEPS, iterations=ITERATIONS, patience=PATIENCE)
 
 
 @query("cross_validate")
 def cross_validate(spark, sf_dir):
-    return learn.cross_validate(rows(spark, sf_dir), "subscriber_id", iterations=3)
+    return learn.cross_validate(rows(spark, sf_dir), "subscriber_id", iterations=ITERATIONS, depth=DEPTH, step=STEP, patience=PATIENCE)
 
 
 @query("batch_score")
 def batch_score(spark, sf_dir):
-    bundle, test = _trained(spark, sf_dir)
-    return learn.batch_score(bundle, test).select(
+    bundle, _ = _trained(spark, sf_dir)
+    return learn.batch_score(bundle, rows(spark, sf_dir)).select(
         "subscriber_id", "churn_probability", "churn_predicted", "risk_tier", "revenue_at_risk", "scored_at"
     )
 
@@ -142,19 +145,19 @@ def feature_importance(spark, sf_dir):
 @query("permutation_importance")
 def permutation_importance(spark, sf_dir):
     bundle, test = _trained(spark, sf_dir)
-    chosen = ["tenure_months", "monthly_charges", "contract_risk_score", "outage_minutes_monthly", "rsrq_avg"]
-    return learn.permutation_importance(bundle.model, test, "subscriber_id", features=chosen)
+    return learn.permutation_importance(bundle.model, test, "subscriber_id")
 
 
 @query("model_roundtrip")
 def model_roundtrip(spark, sf_dir):
     """Scores before and after saving and loading, side by side."""
-    bundle, test = _trained(spark, sf_dir)
+    bundle, _ = _trained(spark, sf_dir)
+    every = rows(spark, sf_dir)
     path = scratch_path(spark, "model")
     bundle.save(path)
     loaded = learn.ModelBundle.load(spark, path)
-    before = learn.score(bundle.model, test).select("subscriber_id", F.col("churn_probability").alias("before"))
-    after = learn.score(loaded.model, test).select("subscriber_id", F.col("churn_probability").alias("after"))
+    before = learn.score(bundle.model, every).select("subscriber_id", F.col("churn_probability").alias("before"))
+    after = learn.score(loaded.model, every).select("subscriber_id", F.col("churn_probability").alias("after"))
     return before.join(after, "subscriber_id")
 
 

@@ -95,14 +95,50 @@ def with_class_weight(df: DataFrame, label: str = "churned", weight: float | Non
 def boosted_trees(
     label: str = "churned", iterations: int = 20, depth: int = 5, step: float = 0.1, subsample: float = 0.8,
     weight: str | None = "class_weight", validation: str | None = None, seed: int = SEED,
-) -> GBTClassifier:
+    patience: int | None = None,
+) -> Estimator:
+    """Without `patience`, boosting with `validation` stops at the first round that gains less than a hundredth."""
     learner = GBTClassifier(
         featuresCol="features", labelCol=label, maxIter=iterations, maxDepth=depth, stepSize=step,
         subsamplingRate=subsample, seed=seed, cacheNodeIds=False, maxMemoryInMB=512,
     )
     if weight:
         learner = learner.setWeightCol(weight)
-    return learner.setValidationIndicatorCol(validation) if validation else learner
+    learner = learner.setValidationIndicatorCol(validation) if validation else learner
+    return EarlyStopping(learner, patience) if validation and patience else learner
+
+
+class EarlyStopping(Estimator):
+    """Boosted trees up to the round of the least validation loss, looked for until `patience` rounds bring none.
+
+    Rounds are doubled from 64 on until then, or to the learner's own number: a round's tree does not depend on how many follow.
+    """
+
+    def __init__(self, learner: GBTClassifier, patience: int):
+        super().__init__()
+        self.learner, self.patience = learner, patience
+
+    def copy(self, extra=None) -> EarlyStopping:
+        return EarlyStopping(self.learner.copy(extra), self.patience)
+
+    def _fit(self, dataset: DataFrame):
+        mark = F.col(self.learner.getValidationIndicatorCol())
+        known, held, most = dataset.filter(~mark), checkpointed(dataset.filter(mark)), self.learner.getMaxIter()
+        if held.isEmpty():
+            return self._rounds(most).fit(known)
+        rounds = min(64, most)
+        while True:
+            model = self._rounds(rounds).fit(known)
+            losses = model.evaluateEachIteration(held)
+            best = losses.index(min(losses)) + 1
+            if rounds == most or rounds - best >= self.patience:
+                return model if best == rounds else self._rounds(best).fit(known)
+            rounds = min(2 * rounds, most)
+
+    def _rounds(self, rounds: int) -> GBTClassifier:
+        learner = self.learner.copy({self.learner.maxIter: rounds})
+        learner.clear(learner.validationIndicatorCol)
+        return learner
 
 
 def random_forest(label: str = "churned", trees: int = 30, depth: int = 6, weight: str | None = "class_weight", seed: int = SEED) -> RandomForestClassifier:
@@ -188,21 +224,23 @@ class AveragePrecision(Evaluator):
 
 def tune(
     rows: DataFrame, key: str, depths: Sequence[int] = (3, 5), steps: Sequence[float] = (0.05, 0.1),
-    iterations: int = 10, label: str = "churned", parallelism: int = 4,
+    iterations: int = 10, label: str = "churned", parallelism: int = 4, patience: int | None = None,
 ) -> DataFrame:
-    """Grid of parameters with the validation score of each, best first."""
+    """Grid of parameters with the validation score of each, best first; boosting stops early on rows kept apart."""
     features = fit_features(rows)
+    marked = stratified_split(rows, key, label, 0.15).withColumnRenamed("is_test", "is_validation")
     prepared = checkpointed(
-        with_class_weight(features.transform(rows), label).select(label, "class_weight", "features")
+        with_class_weight(features.transform(marked), label).select(label, "class_weight", "is_validation", "features")
     )
-    learner = boosted_trees(label, iterations)
-    grid = ParamGridBuilder().addGrid(learner.maxDepth, list(depths)).addGrid(learner.stepSize, list(steps)).build()
+    learner = boosted_trees(label, iterations, validation="is_validation", patience=patience)
+    base = learner.learner if isinstance(learner, EarlyStopping) else learner
+    grid = ParamGridBuilder().addGrid(base.maxDepth, list(depths)).addGrid(base.stepSize, list(steps)).build()
     search = TrainValidationSplit(
         estimator=learner, estimatorParamMaps=grid, evaluator=AveragePrecision(label),
         trainRatio=0.85, seed=SEED, parallelism=parallelism,
     ).fit(prepared)
     trials = [
-        (int(p[learner.maxDepth]), float(p[learner.stepSize]), float(m))
+        (int(p[base.maxDepth]), float(p[base.stepSize]), float(m))
         for p, m in zip(grid, search.validationMetrics, strict=True)
     ]
     trials.sort(key=lambda t: (-t[2], t[0], t[1]))
@@ -215,12 +253,15 @@ def quality(scored: DataFrame, label: str = "churned", threshold: float = 0.5) -
     return evaluate.classification_metrics(narrow, threshold, label=label)
 
 
-def compare_models(rows: DataFrame, key: str, label: str = "churned", iterations: int = 10) -> DataFrame:
+def compare_models(
+    rows: DataFrame, key: str, label: str = "churned", iterations: int = 10, depth: int = 5, step: float = 0.1,
+    patience: int | None = None,
+) -> DataFrame:
     """Test metrics of boosted trees and a random forest on the same split and features."""
     marked = checkpointed(stratified_split(rows, key, label, 0.2))
     test = marked.filter("is_test").drop("is_test")
     learners = {
-        "boosted_trees": boosted_trees(label, iterations, validation="is_validation"),
+        "boosted_trees": boosted_trees(label, iterations, depth, step, validation="is_validation", patience=patience),
         "random_forest": random_forest(label, trees=iterations),
     }
     out = None
@@ -231,12 +272,15 @@ def compare_models(rows: DataFrame, key: str, label: str = "churned", iterations
     return out
 
 
-def cross_validate(rows: DataFrame, key: str, k: int = 5, label: str = "churned", iterations: int = 10) -> DataFrame:
+def cross_validate(
+    rows: DataFrame, key: str, k: int = 5, label: str = "churned", iterations: int = 10, depth: int = 5, step: float = 0.1,
+    patience: int | None = None,
+) -> DataFrame:
     """Mean and standard deviation of AUC, average precision and F1 over k balanced folds."""
     folds = checkpointed(stratified_folds(rows, key, label, k))
     out = None
     for i in range(k):
-        learner = boosted_trees(label, iterations, validation="is_validation")
+        learner = boosted_trees(label, iterations, depth, step, validation="is_validation", patience=patience)
         model = train(folds.filter(F.col("fold") != i).drop("fold"), key, learner, label)
         line = quality(score(model, folds.filter(F.col("fold") == i)), label).select(F.lit(i).alias("fold"), "roc_auc", "pr_auc", "f1")
         out = line if out is None else out.unionByName(line)
