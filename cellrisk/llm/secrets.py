@@ -21,10 +21,12 @@ KINDS = ("assign", "access", "hex", "novel")
 SENSITIVE = re.compile(r"password|passwd|secret|token|api_?key|credential|private_?key|bearer|authorization", re.I | re.A)
 
 _LONG_HEX = re.compile(r"[0-9a-f]{24,}")
-_RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+SHORTEST = 16
+_IN_RUN = re.compile(r"[A-Za-z0-9+/_=-]")
+_RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % SHORTEST)
 _WORD = re.compile(r"[A-Za-z_]{4,24}")
 
-#: How far after a sensitive word a candidate may begin, and how much code on either side primes the compressor.
+#: How far after a sensitive word a candidate may begin, or before one end, and how much code on either side primes the compressor.
 REACH = 64
 AROUND = 256
 #: A candidate is reported when it adds at least this many compressed bytes per character.
@@ -53,18 +55,26 @@ def sensitive(text: str) -> bool:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Long runs without white space that begin within `REACH` characters after a sensitive word.
+    """Long runs without white space that begin within `REACH` characters after a sensitive word, or end as near before one.
 
     They hold a digit or both cases. What begins within a run already looked at belongs to that run.
     """
     found, seen = [], 0
-    for word in SENSITIVE.finditer(text) if sensitive(text) else ():
-        limit = min(len(text), word.end() + REACH + 1)
-        begin = max(word.end(), seen)
-        while begin < limit and (run := _RUN.search(text, begin, limit)):
-            begin = seen = _RUN.match(text, run.start()).end()
+
+    def look(begin: int, limit: int, end: int) -> None:
+        """Take the runs of text[:end] that begin from `begin` on and before `limit`."""
+        nonlocal seen
+        while begin < limit and (run := _RUN.search(text, begin, min(end, limit + SHORTEST - 1))):
+            begin = seen = _RUN.match(text, run.start(), end).end()
             if re.search("[0-9]|[a-z].*[A-Z]|[A-Z].*[a-z]", text[run.start() : seen]):
                 found.append((run.start(), seen))
+
+    for word in SENSITIVE.finditer(text) if sensitive(text) else ():
+        back = max(seen, word.start() - REACH)
+        while seen < back < word.start() and _IN_RUN.match(text, back - 1):
+            back -= 1
+        look(back, word.start(), word.start())
+        look(max(word.end(), seen), word.end() + REACH + 1, len(text))
     return found
 
 

@@ -178,6 +178,16 @@ def test_novelty_tells_random_strings_from_identifiers(spark):
     assert [text[s["begin"] : s["end"]] for s in found if s["kind"] == "novel"] == ["qX7v2Lm9Zt4Rk8Wp3Ny6"]
 
 
+@pytest.mark.parametrize("gap", [1, 49, 50, 63, 64])
+def test_candidates_reach_both_ways(gap):
+    string = "Zk3Vq9Lw2Xc8Rt5Yb7Nm"
+    for after in ("password" + " " * gap + string + " end", "secret token" + " " * gap + string):
+        assert [after[a:b] for a, b in secrets.candidates(after)] == [string]
+    before = "start " + string + " " * gap + "password"
+    assert [before[a:b] for a, b in secrets.candidates(before)] == [string]
+    assert secrets.candidates("password" + " " * 65 + string) == secrets.candidates(string + " " * 65 + "password") == []
+
+
 def test_redaction_keeps_rows_and_columns(docs):
     out = secrets.redacted(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
