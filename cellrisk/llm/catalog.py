@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellrisk.llm import bpe, hamming, jaccard, language, lattice, mixing, secrets, suffixes, tokens, toxicity
+from cellrisk.llm import align, bpe, chunks, hamming, infill, jaccard, language, lattice, mixing, secrets, suffixes, tokens, toxicity
 from cellrisk.llm.common import table
 from cellrisk.session import scratch_path
 
@@ -150,3 +150,42 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
     folder = scratch_path(spark, "flat")
     return tokens.counted(table(spark, sf_dir, "documents"), folder, vocabulary, public_tokenizers.PATTERN, separator=50256)
+
+
+INFILL_SQL = r"""
+with cut as (
+    select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as tokens,
+           sha256('42:' || coalesce(doc_id::varchar, '')) as h from documents
+), drawn as (
+    select *, len(tokens)::bigint as n, [('0x' || substr(h, 1 + 8 * i, 8))::bigint for i in range(0, 4)] as d from cut
+), ends as (
+    select *, least(d[1] % (n + 1), d[2] % (n + 1)) as a, greatest(d[1] % (n + 1), d[2] % (n + 1)) as b,
+           case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or d[3] % 100 >= 50 then 'plain'
+                when d[4] % 100 < 80 then 'spm' else 'psm' end as form from drawn
+), parts as (
+    select *, array_to_string(tokens[1:a], '') as p, array_to_string(tokens[a + 1:b], '') as m, array_to_string(tokens[b + 1:], '') as s from ends
+)
+select doc_id, n, form, case when form <> 'plain' then length(p) end::bigint as prefix_chars, case when form <> 'plain' then length(m) end::bigint as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+       sha256(text) as restored_sha256 from parts
+"""
+
+
+@query("op11_fill_in_middle", INFILL_SQL)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = infill.fill_in_middle(table(spark, sf_dir, "documents"))
+    moved = moved.withColumn("output_sha256", F.sha2("output", 256))
+    figures = ("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256")
+    return infill.restore(moved, keep=figures).select(*figures, F.sha2("text", 256).alias("restored_sha256"))
+
+
+@query("op12_chunked_bpe")
+def op12_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = align.digests(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
