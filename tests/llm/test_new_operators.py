@@ -174,7 +174,7 @@ def test_other_tokenizers_are_refused(tmp_path):
 
 
 def plain_alignment(rows, library, pieces):
-    """Rows (doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) by comparing all token pairs of a text."""
+    """Rows (doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) by looking at the two tokens of each byte."""
     byte = chunks.byte_of()
     name = {i: t for t, i in library.get_vocab().items()}
     found, totals = [], collections.Counter()
@@ -187,13 +187,15 @@ def plain_alignment(rows, library, pieces):
         if not text or not b"".join(bytes_a) == b"".join(bytes_b) == (" " + text).encode():
             found.append((doc_id, [], [], [], []))
             continue
-        ends_a, ends_b = np.cumsum(list(map(len, bytes_a))), np.cumsum(list(map(len, bytes_b)))
-        begin_a, begin_b = np.append(0, ends_a[:-1]), np.append(0, ends_b[:-1])
-        links = [(a[i], b[k]) for i, k in zip(*np.nonzero((begin_a[:, None] < ends_b) & (begin_b < ends_a[:, None])))]
-        both = sorted(set(ends_a.tolist()) & set(ends_b.tolist()))
-        groups = []
-        for low, high in zip([0, *both], both):
-            groups.append(",".join(str(x) for x, e in zip(a, ends_a) if low < e <= high) + "|" + ",".join(str(x) for x, e in zip(b, ends_b) if low < e <= high))
+        owner_a, owner_b = ([i for i, x in enumerate(t) for _ in x] for t in (bytes_a, bytes_b))  # of each byte
+        pairs = list(dict.fromkeys(zip(owner_a, owner_b)))
+        links = [(a[i], b[k]) for i, k in pairs]
+        groups, had_a, had_b = [], [], []
+        for at, (i, k) in enumerate(pairs):
+            had_a, had_b = dict.fromkeys([*had_a, i]), dict.fromkeys([*had_b, k])
+            if at + 1 == len(pairs) or (pairs[at + 1][0] != i and pairs[at + 1][1] != k):
+                groups.append(",".join(str(a[x]) for x in had_a) + "|" + ",".join(str(b[x]) for x in had_b))
+                had_a, had_b = [], []
         totals.update(links)
         found.append((doc_id, a, b, groups, links))
     most = collections.Counter()
@@ -240,8 +242,6 @@ def test_slices_join_to_the_ids(docs, rows, both):
 
 
 def test_alignment_of_all_documents(spark, sf_dir, both):
-    docs = [(r[0], r[1]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").where("length(text) < 20000").collect()]
-    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
-    got = align.digests(df, TOKENIZER, MODEL).select(*FIGURES)
+    docs = [(r[0], r[1]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    got = catalog.op13_token_alignment(spark, sf_dir).select(*FIGURES)
     assert collections.Counter(map(tuple, got.collect())) == collections.Counter(plain_alignment(docs, *both))
-    assert catalog.op13_token_alignment(spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
