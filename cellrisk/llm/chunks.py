@@ -19,11 +19,11 @@ from cellrisk.llm.common import map_batches
 from cellrisk.llm.hashing import BLOCK, _BYTES
 
 #: A cut depends on so many bytes before it. Chunks have about `MEAN` bytes, more than `LEAST` and at most `MOST`.
-WINDOW, LEAST, MEAN, MOST = 32, 64, 512, 8192
+WINDOW, LEAST, MEAN, MOST = 32, 128, 1024, 8192
 #: A piece is settled by its own characters and at most so many after its end.
 LOOK = 8
 #: Chunks and pieces a Python worker remembers in each of two generations; longer pieces are not remembered.
-CHUNKS, PIECES, SHORT = 20_000, 300_000, 64
+CHUNKS, PIECES, SHORT = 10_000, 300_000, 64
 
 #: The pattern of the byte-level pre-tokenizer (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -125,6 +125,7 @@ class Coder:
             self.texts[i] = bytes(map(byte.__getitem__, token)) if known else token.encode()
         self.sizes = np.array(list(map(len, self.texts)), np.int64)
         self.decimals = list(map(str, range(len(self.texts))))
+        self.merge, self.letters = self.library.model.tokenize, {b: c for c, b in byte.items()}
         self.known, self.before, self.pieces, self.older = {}, {}, {}, {}
 
     def pieces_of(self, text: str) -> list[str]:
@@ -134,20 +135,20 @@ class Coder:
         return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
     def ids_of(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of each piece; those not met lately are encoded by the library, each once."""
-        out = list(map(self.pieces.get, pieces))
-        if None in out:
-            known, older = self.pieces, self.older
-            places = [i for i, ids in enumerate(out) if ids is None]
-            found = {pieces[i]: older.get(pieces[i]) for i in places}
-            unseen = [p for p, ids in found.items() if ids is None]
-            if unseen:
-                found.update((p, coded.ids) for p, coded in zip(unseen, self.library.encode_batch_fast(unseen, add_special_tokens=False)))
-            for i in places:
-                out[i] = found[pieces[i]]
-            known.update((p, ids) for p, ids in found.items() if len(p) <= SHORT)
-            if len(known) >= PIECES:
-                self.pieces, self.older = {}, known
+        """Ids of each piece; those not met lately are merged by the library's model."""
+        known, older = self.pieces, self.older
+        out = list(map(known.get, pieces))
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        for i in missing:
+            piece = pieces[i]
+            ids = known.get(piece) or older.get(piece)
+            if ids is None:
+                ids = [token.id for token in self.merge(piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters))]
+            out[i] = ids
+            if len(piece) <= SHORT:
+                known[piece] = ids
+        if len(known) >= PIECES:
+            self.pieces, self.older = {}, known
         return out
 
     def chunk(self, text: str) -> tuple[list[str], list[list[int]]]:
@@ -181,7 +182,7 @@ class Coder:
             if open_ >= b:
                 continue
             pieces, ids = self.chunk(text[a:b])
-            end, first, grow = a, 0, 4 * LOOK
+            end, first, grow = a, 0, 3 * LOOK
             while open_ != end and open_ < b:
                 while end < open_:
                     end += len(pieces[first])
