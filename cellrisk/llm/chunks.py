@@ -125,6 +125,8 @@ class Coder:
             self.texts[i] = bytes(map(byte.__getitem__, token)) if known else token.encode()
         self.sizes = np.array(list(map(len, self.texts)), np.int64)
         self.decimals = list(map(str, range(len(self.texts))))
+        #: Whether each byte is a token, so that no text loses any.
+        self.lossless = {bytes([b]) for b in range(256)} <= set(self.texts)
         self.merge, self.letters = self.library.model.tokenize, {b: c for c, b in byte.items()}
         self.known, self.before, self.pieces, self.older = {}, {}, {}, {}
 
@@ -134,7 +136,7 @@ class Coder:
             return self.matches(text)
         return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
-    def ids_of(self, pieces: list[str]) -> list[list[int]]:
+    def ids_of(self, pieces: list[str]) -> list[tuple[int, ...]]:
         """Ids of each piece; those not met lately are merged by the library's model."""
         known, older = self.pieces, self.older
         out = list(map(known.get, pieces))
@@ -143,7 +145,7 @@ class Coder:
             piece = pieces[i]
             ids = known.get(piece) or older.get(piece)
             if ids is None:
-                ids = [token.id for token in self.merge(piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters))]
+                ids = tuple([token.id for token in self.merge(piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters))])
             out[i] = ids
             if len(piece) <= SHORT:
                 known[piece] = ids
@@ -151,7 +153,7 @@ class Coder:
             self.pieces, self.older = {}, known
         return out
 
-    def chunk(self, text: str) -> tuple[list[str], list[list[int]]]:
+    def chunk(self, text: str) -> tuple[list[str], list[tuple[int, ...]]]:
         """(pieces, ids of each) of a chunk by itself."""
         entry = self.known.get(text)
         if entry is None:
