@@ -3,20 +3,30 @@
 from __future__ import annotations
 
 from cellrisk.catalog.registry import query
-from cellrisk.catalog.tables import r
+from cellrisk.catalog.tables import LOGIT_SQL, r
+from cellrisk.functions.scoring import logit_share
 from cellrisk.operators import evaluate as ev
 from cellrisk.sources.testbed import subscribers
 
-_LABELLED = ["subscriber_id", "churned", "churn_probability"]
+_LABELLED = [
+    "subscriber_id", "churned", "contract_type", "tenure_months", "monthly_charges", "internet_service", "call_drops_monthly",
+    "outage_minutes_monthly", "rsrq_avg", "payment_method", "senior_citizen", "tech_support_calls",
+]
 _T = 0.45
 
 
 def labelled(spark, sf_dir):
-    return subscribers(spark, sf_dir, _LABELLED)
+    """Unrounded scores: two rows may differ by less than 10^-15."""
+    rows = subscribers(spark, sf_dir, _LABELLED)
+    return rows.select("subscriber_id", "churned", logit_share().alias("churn_probability"))
 
 
-_STEPS = """with steps as (select churn_probability as step, count(*) as n, cast(sum(churned) as bigint) as pos
-    from subscribers group by 1),
+_Z = f"({LOGIT_SQL})"
+_SCORED = f"(select subscriber_id, churned, 5e-1 + 5e-1 * {_Z} / (1e0 + abs({_Z})) as churn_probability from subscribers)"
+
+
+_STEPS = f"""with steps as (select churn_probability as step, count(*) as n, cast(sum(churned) as bigint) as pos
+    from {_SCORED} group by 1),
   cum as (select *, cast(sum(n) over (order by step desc) as bigint) as cum_n,
     cast(sum(pos) over (order by step desc) as bigint) as cum_pos,
     cast(sum(n) over () as bigint) as total_n, cast(sum(pos) over () as bigint) as total_pos from steps)"""
@@ -64,7 +74,7 @@ def classification_metrics(spark, sf_dir):
     "confusion_matrix",
     f"""with cells as (select 0 as actual, 0 as predicted union all select 0, 1 union all select 1, 0 union all select 1, 1),
     c as (select churned as actual, case when churn_probability >= 45e-2 then 1 else 0 end as predicted, count(*) as n
-          from subscribers group by 1, 2)
+          from {_SCORED} group by 1, 2)
     select cells.actual, cells.predicted, coalesce(n, 0) as n,
       {r('coalesce(n, 0) / cast(sum(coalesce(n, 0)) over (partition by cells.actual) as double)', 6)} as share_of_actual
     from cells left join c on cells.actual = c.actual and cells.predicted = c.predicted""",
@@ -110,8 +120,8 @@ def pr_curve(spark, sf_dir):
 
 
 def _sweep(low: int, high: int, digits: int) -> str:
-    flagged = "(select count(*) from subscribers where round_even(churn_probability*1e4, 0) >= h*100)"
-    hits = "(select cast(coalesce(sum(churned), 0) as bigint) from subscribers where round_even(churn_probability*1e4, 0) >= h*100)"
+    flagged = f"(select count(*) from {_SCORED} where churn_probability >= h/1e2)"
+    hits = f"(select cast(coalesce(sum(churned), 0) as bigint) from {_SCORED} where churn_probability >= h/1e2)"
     total = "(select cast(sum(churned) as bigint) from subscribers)"
     return f"""select h/1e2 as threshold, {r(_share('tp', 'fl'), digits)} as "precision", {r(_share('tp', 'tot'), digits)} as recall,
       {r(_share('2*tp', 'fl+tot'), digits)} as f1
@@ -133,17 +143,17 @@ def best_threshold(spark, sf_dir):
 
 @query(
     "calibration",
-    f"""select cast(greatest(ceil(round_even(churn_probability*1e7, 0)/1e6) - 1, 0) as int) as bin, count(*) as n,
+    f"""select cast(len([k for k in range(1, 10) if churn_probability > k/1e1]) as int) as bin, count(*) as n,
     {r('sum(churn_probability)/count(*)', 6)} as mean_predicted, {r('sum(churned)/count(*)', 6)} as fraction_positive
-    from subscribers group by 1""",
+    from {_SCORED} group by 1""",
 )
 def calibration(spark, sf_dir):
     return ev.calibration(labelled(spark, sf_dir))
 
 
-_RANKED = """with ranked as (select subscriber_id, churned, churn_probability,
+_RANKED = f"""with ranked as (select subscriber_id, churned, churn_probability,
     row_number() over w as rank, cast(sum(churned) over w as bigint) as cum_pos, count(*) over () as total_n,
-    cast(sum(churned) over () as bigint) as total_pos from subscribers
+    cast(sum(churned) over () as bigint) as total_pos from {_SCORED}
     window w as (order by churn_probability desc, md5(subscriber_id), subscriber_id rows unbounded preceding))"""
 
 

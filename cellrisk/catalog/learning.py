@@ -110,7 +110,7 @@ def _trained(spark, sf_dir):
 @query("train_gbt")
 def train_gbt(spark, sf_dir):
     bundle, test = _trained(spark, sf_dir)
-    return learn.quality(learn.score(bundle.model, test), threshold=bundle.threshold)
+    return learn.quality(learn.score(bundle.model, test, digits=None), threshold=bundle.threshold)
 
 
 @query("model_compare")

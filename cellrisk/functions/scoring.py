@@ -61,6 +61,12 @@ def logit_score(digits: int | None = 4) -> Column:
     return raw if digits is None else np_round(raw, digits)
 
 
+def logit_share() -> Column:
+    """The logit on a scale from 0 to 1 by a fraction: orders rows as the probability does, from exact divisions alone."""
+    z = churn_logit()
+    return F.lit(0.5) + F.lit(0.5) * z / (F.lit(1.0) + F.abs(z))
+
+
 def label_at(probability: Column | str, threshold: float = DEFAULT_THRESHOLD) -> Column:
     return (col_of(probability) >= F.lit(threshold)).cast("int")
 

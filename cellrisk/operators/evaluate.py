@@ -1,9 +1,9 @@
 """Evaluation of a scored, labelled table.
 
-All curves and metrics start from `score_steps`: one row per distinct score at a fixed number of
-decimals, so at most 10^digits + 1 rows for probabilities, whatever the table's size. Cumulative
-windows run over those steps and never over the rows. Where single rows matter (a cut through tied
-scores), only the rows of the affected steps are ranked, split by a hash of their key.
+All curves and metrics start from `score_steps`, one row per distinct score as it is, unrounded; rows that share a
+score are counted before any shuffle. Running sums go by ranges of the score (`ordered.running`), so neither a task nor the
+driver sees all steps. Where single rows matter, rows are ranked in ranges of score, hash and key, so a score that a
+third of all rows share is split as well. Rows without a score (NULL or NaN) or label are left out.
 """
 
 from __future__ import annotations
@@ -14,42 +14,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellrisk.functions.numeric import np_round
+from cellrisk.operators.ordered import running
 from cellrisk.session import checkpointed
 
-SCORE_DIGITS = 4
-MAX_DIGITS = 6
-
 # Sweep and tuning ranges in hundredths, both ends included.
 SWEEP_HUNDREDTHS = (10, 79)
 TUNE_HUNDREDTHS = (20, 69)
 FALLBACK_THRESHOLD = 0.5
 
 
-def score_steps(
-    df: DataFrame, label: str = "churned", score: str = "churn_probability", digits: int = SCORE_DIGITS
-) -> DataFrame:
-    """(step, n, pos): rows and positives per score, rounded to `digits` decimals."""
-    if not 0 < digits <= MAX_DIGITS:
-        raise ValueError(f"digits must be 1 to {MAX_DIGITS}: more steps would not fit one task")
-    return (
-        df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(np_round(score, digits).alias("step"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("pos"))
+def _known(df: DataFrame, label: str, score: str) -> DataFrame:
+    return df.filter(F.col(score).isNotNull() & ~F.isnan(score) & F.col(label).isNotNull())
+
+
+def score_steps(df: DataFrame, label: str = "churned", score: str = "churn_probability") -> DataFrame:
+    """(step, n, pos): rows and positives per distinct score; -0 counts as 0."""
+    step = (F.col(score).cast("double") + F.lit(0.0)).alias("step")
+    return _known(df, label, score).groupBy(step).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("pos")
     )
 
 
 def cumulative_steps(steps: DataFrame) -> DataFrame:
     """Add totals and the counts at and above each step."""
-    down = Window.orderBy(F.col("step").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy()
-    return steps.withColumns(
-        {
-            "cum_n": F.sum("n").over(down),
-            "cum_pos": F.sum("pos").over(down),
-            "total_n": F.sum("n").over(whole),
-            "total_pos": F.sum("pos").over(whole),
-        }
-    )
+    return running(steps, [F.col("step").desc()], {"cum_n": "n", "cum_pos": "pos"}, {"total_n": "n", "total_pos": "pos"})
 
 
 def _share(a: Column, b: Column) -> Column:
@@ -211,7 +199,11 @@ def threshold_sweep(
     Thresholds are whole hundredths, and a score counts from its threshold upwards.
     """
     scores = score_steps(df, **columns)
-    per_bin = scores.groupBy(F.floor(np_round(F.col("step") * 100.0, 4)).cast("int").alias("bin")).agg(
+    # The product may round across a threshold; the comparison decides.
+    near = F.floor(F.col("step") * 100.0)
+    at_least = lambda i: F.col("step") >= (near + i) / F.lit(100.0)
+    whole = near + F.when(at_least(1), 1).when(at_least(0), 0).otherwise(-1)
+    per_bin = scores.groupBy(whole.cast("int").alias("bin")).agg(
         F.sum("n").alias("n"), F.sum("pos").alias("pos")
     )
     bins = df.sparkSession.range(101).select(F.col("id").cast("int").alias("bin"))
@@ -246,7 +238,9 @@ def best_threshold(df: DataFrame, hundredths: tuple[int, int] = TUNE_HUNDREDTHS,
 def calibration(df: DataFrame, bins: int = 10, digits: int = 6, **columns) -> DataFrame:
     """Mean score and positive share per equal-width bin; a score on an edge belongs to the bin below."""
     steps = score_steps(df, **columns)
-    bin_no = F.greatest(F.ceil(np_round(F.col("step") * F.lit(float(bins)), 6)) - 1, F.lit(0)).cast("int")
+    near = F.ceil(F.col("step") * F.lit(float(bins)))
+    above = lambda i: F.col("step") > (near + i) / F.lit(float(bins))
+    bin_no = F.greatest(near + F.when(above(0), 0).when(above(-1), -1).otherwise(-2), F.lit(0)).cast("int")
     return (
         steps.groupBy(bin_no.alias("bin"))
         .agg(
@@ -265,56 +259,35 @@ def _offsets(steps: DataFrame) -> DataFrame:
 
 
 def ranked_rows(
-    df: DataFrame,
-    steps: DataFrame,
-    key: str,
-    label: str = "churned",
-    score: str = "churn_probability",
-    digits: int = SCORE_DIGITS,
+    df: DataFrame, key: str, label: str = "churned", score: str = "churn_probability", steps: DataFrame | None = None
 ) -> DataFrame:
-    """Rank and running positives of the rows in `steps`, by score, then by the hash of the key.
+    """Rank and running positives of rows by score, then by the hash of the key, then by the key.
 
-    A step may hold a third of all rows, so its rows are split by the leading two digits of the hash
-    that also orders them: counts per part give each part's offset, and the window that numbers rows
-    sees one part at a time.
+    With `steps`, a few scores with what lies before them, only the rows of those are ranked.
     """
-    hashed = (
-        df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .select(key, label, np_round(score, digits).alias("step"), F.md5(F.col(key).cast("string").cast("binary")).alias("_h"))
-        .withColumn("_part", F.substring("_h", 1, 2))
-        # At most 10^digits + 1 rows.
-        .join(F.broadcast(steps.select("step")), "step", "left_semi")
-    )
-    parts = hashed.groupBy("step", "_part").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("bigint")).alias("_pos")
-    )
-    earlier = Window.partitionBy("step").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    part_offsets = (
-        parts.withColumns(
-            {
-                "_n0": F.coalesce(F.sum("_n").over(earlier), F.lit(0)),
-                "_pos0": F.coalesce(F.sum("_pos").over(earlier), F.lit(0)),
-            }
-        )
-        .select("step", "_part", "_n0", "_pos0")
-        .join(F.broadcast(steps.select("step", "n_before", "pos_before", "total_n", "total_pos")), "step")
-    )
-    inside = Window.partitionBy("step", "_part").orderBy("_h", key)
-    running = inside.rowsBetween(Window.unboundedPreceding, 0)
-    return hashed.join(part_offsets, ["step", "_part"]).select(
-        key,
-        label,
-        "step",
-        (F.col("n_before") + F.col("_n0") + F.row_number().over(inside)).alias("rank"),
-        (F.col("pos_before") + F.col("_pos0") + F.sum(F.col(label).cast("bigint")).over(running)).alias("cum_pos"),
-        "total_n",
-        "total_pos",
-    )
+    step = (F.col(score).cast("double") + F.lit(0.0)).alias("step")
+    rows = _known(df, label, score).select(
+        key, label, step, F.md5(F.col(key).cast("string").cast("binary")).alias("_h"),
+        F.lit(1).cast("bigint").alias("_one"), F.col(label).cast("bigint").alias("_pos"),
+    )
+    order = [F.col("step").desc(), F.col("_h"), F.col(key)]
+    sums = {"rank": "_one", "cum_pos": "_pos"}
+    if steps is None:
+        return running(rows, order, sums, {"total_n": "_one", "total_pos": "_pos"}).drop("_h", "_one", "_pos")
+    # One row per wanted cut. Each of its steps is counted on from the rows that lie before it.
+    wanted = F.broadcast(steps.select("step", "n_before", "pos_before", "total_n", "total_pos").dropDuplicates(["step"]))
+    some = running(rows.join(F.broadcast(steps.select("step").distinct()), "step", "left_semi"), order, sums)
+    first = some.groupBy("step").agg(F.min("rank").alias("_first"), F.min(F.col("cum_pos") - F.col("_pos")).alias("_had"))
+    return some.join(F.broadcast(first), "step").join(wanted, "step").select(
+        key, label, "step",
+        (F.col("rank") - F.col("_first") + 1 + F.col("n_before")).alias("rank"),
+        (F.col("cum_pos") - F.col("_had") + F.col("pos_before")).alias("cum_pos"), "total_n", "total_pos",
+    )
 
 
 def cumulative_gain(df: DataFrame, key: str, digits: int = 6, **columns) -> DataFrame:
     """Gain, share contacted and lift after every single row."""
-    ranked = ranked_rows(df, checkpointed(_offsets(score_steps(df, **columns))), key, **columns)
+    ranked = ranked_rows(df, key, **columns)
     return _gains(ranked, F.col("rank"), digits, key, "rank")
 
 
@@ -344,8 +317,7 @@ def gain_at_k(df: DataFrame, key: str, percents: Sequence[int] = (10, 20), digit
         F.sum(F.when(F.col("cum_n") <= F.col("cut"), F.col("pos")).otherwise(0)).alias("whole_pos")
     )
     cut_steps = steps.filter((F.col("n_before") < F.col("cut")) & (F.col("cum_n") > F.col("cut")))
-    affected = cut_steps.drop("percent", "cut").dropDuplicates(["step"])
-    ranked = ranked_rows(df, affected, key, **columns)
+    ranked = ranked_rows(df, key, steps=cut_steps, **columns)
     last = ranked.join(F.broadcast(cut_steps.select("step", "percent", "cut", "pos_before")), "step").filter(
         F.col("rank") == F.col("cut")
     )
@@ -368,8 +340,7 @@ def contacts_for_recall(
     steps = checkpointed(_offsets(score_steps(df, **columns))).select("*", wanted)
     steps = steps.withColumn("goal", F.ceil(F.col("total_pos") * F.col("recall_pct") / 100))
     crossing = steps.filter((F.col("pos_before") < F.col("goal")) & (F.col("cum_pos") >= F.col("goal")))
-    affected = crossing.drop("recall_pct", "goal").dropDuplicates(["step"])
-    ranked = ranked_rows(df, affected, key, **columns)
+    ranked = ranked_rows(df, key, steps=crossing, **columns)
     reached = ranked.join(F.broadcast(crossing.select("step", "recall_pct", "goal")), "step").filter(
         F.col("cum_pos") >= F.col("goal")
     )

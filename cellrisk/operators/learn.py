@@ -23,6 +23,7 @@ from cellrisk.functions.scoring import with_predictions
 from cellrisk.operators import evaluate
 from cellrisk.operators.encode import ABSENT_VALUE, NON_FEATURES, NULL_VALUE, OneHotLevels, feature_list
 from cellrisk.operators.features import NetworkFeatures, SubscriberFeatures
+from cellrisk.operators.ordered import running
 from cellrisk.operators.splits import SEED, hash_ranks, stratified_folds, stratified_split, uniform
 from cellrisk.session import checkpointed
 
@@ -202,7 +203,7 @@ def fit_bundle(rows: DataFrame, key: str, learner: Estimator | None = None, labe
     """Train on a share of the rows, and tune the threshold on the rows kept apart."""
     marked = checkpointed(stratified_split(rows, key, label, 0.15, seed=SEED + 1))
     model = train(marked.filter(~F.col("is_test")).drop("is_test"), key, learner, label)
-    held_out = checkpointed(score(model, marked.filter("is_test").drop("is_test")).select(label, "churn_probability"))
+    held_out = checkpointed(score(model, marked.filter("is_test").drop("is_test"), digits=None).select(label, "churn_probability"))
     threshold = evaluate.best_threshold(held_out, label=label).first()["threshold"]
     return ModelBundle(model, float(threshold), feature_names(model))
 
@@ -215,7 +216,7 @@ class AveragePrecision(Evaluator):
         self.label = label
 
     def _evaluate(self, dataset: DataFrame) -> float:
-        scored = dataset.select(self.label, np_round(probability_column(), 4).alias("churn_probability"))
+        scored = dataset.select(self.label, probability_column().alias("churn_probability"))
         return evaluate.average_precision(scored, label=self.label).first()["average_precision"] or 0.0
 
     def isLargerBetter(self) -> bool:
@@ -267,7 +268,7 @@ def compare_models(
     out = None
     for name, learner in learners.items():
         model = train(marked.filter(~F.col("is_test")).drop("is_test"), key, learner, label)
-        line = quality(score(model, test), label).select(F.lit(name).alias("model"), "*")
+        line = quality(score(model, test, digits=None), label).select(F.lit(name).alias("model"), "*")
         out = line if out is None else out.unionByName(line)
     return out
 
@@ -282,7 +283,7 @@ def cross_validate(
     for i in range(k):
         learner = boosted_trees(label, iterations, depth, step, validation="is_validation", patience=patience)
         model = train(folds.filter(F.col("fold") != i).drop("fold"), key, learner, label)
-        line = quality(score(model, folds.filter(F.col("fold") == i)), label).select(F.lit(i).alias("fold"), "roc_auc", "pr_auc", "f1")
+        line = quality(score(model, folds.filter(F.col("fold") == i), digits=None), label).select(F.lit(i).alias("fold"), "roc_auc", "pr_auc", "f1")
         out = line if out is None else out.unionByName(line)
     long = checkpointed(out).unpivot(["fold"], ["roc_auc", "pr_auc", "f1"], "metric", "value")
     return long.groupBy("metric").agg(
@@ -324,12 +325,15 @@ def permutation_importance(
             F.transform("x", lambda v, i: F.when(i == F.col("j"), F.get(F.col("donor"), i)).otherwise(v))
         ).alias("features"),
     )
-    scored = model.stages[-1].transform(changed).select(label, "j", np_round(probability_column(), 4).alias("step"))
+    scored = model.stages[-1].transform(changed).select(label, "j", probability_column().alias("step"))
     steps = scored.groupBy("j", "step").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("pos")
     )
-    down = Window.partitionBy("j").orderBy(F.col("step").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    gained = F.col("pos") * (F.sum("pos").over(down) / F.sum("n").over(down))
+    summed = running(steps, [F.col("j"), F.col("step").desc()], {"cum_n": "n", "cum_pos": "pos"})
+    # Sums run on from feature to feature: each counts from where it begins.
+    had = summed.groupBy("j").agg(F.min(F.col("cum_n") - F.col("n")).alias("n0"), F.min(F.col("cum_pos") - F.col("pos")).alias("pos0"))
+    steps = summed.join(F.broadcast(had), "j")
+    gained = F.col("pos") * ((F.col("cum_pos") - F.col("pos0")) / (F.col("cum_n") - F.col("n0")))
     precision = checkpointed(
         steps.withColumn("g", gained).groupBy("j").agg(F.try_divide(F.sum("g"), F.sum("pos")).alias("ap"))
     )

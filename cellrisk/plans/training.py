@@ -17,7 +17,7 @@ def train_and_evaluate(
     """The fitted bundle and one row of test metrics; the bundle is saved when a path is given."""
     marked = checkpointed(stratified_split(rows, key, label))
     bundle = learn.fit_bundle(marked.filter(~F.col("is_test")).drop("is_test"), key, learner, label)
-    scored = learn.score(bundle.model, marked.filter("is_test").drop("is_test"))
+    scored = learn.score(bundle.model, marked.filter("is_test").drop("is_test"), digits=None)
     if path:
         bundle.save(path)
     return bundle, learn.quality(scored, label, bundle.threshold)
