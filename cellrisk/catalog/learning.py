@@ -120,7 +120,16 @@ def model_compare(spark, sf_dir):
 
 @query("tune")
 def tune(spark, sf_dir):
-    return learn.tune(rows(spark, sf_dir), "subscriber_id", depths=TRIAL_DEPTHS, steps=TRIAL_STEPS, iterations=ITERATIONS, patience=PATIENCE)
+    return learn.tune(rows(spark, sf_dir), "subscriber_id", TRIAL_DEPTHS, TRIAL_STEPS, iterations=ITERATIONS, patience=PATIENCE)
+
+
+@query("tuned_model")
+def tuned_model(spark, sf_dir):
+    """Test metrics of the best trial's settings, fitted again on all training rows."""
+    marked = splits.stratified_split(rows(spark, sf_dir), "subscriber_id")
+    known, test = marked.filter(~F.col("is_test")).drop("is_test"), marked.filter("is_test").drop("is_test")
+    bundle = learn.fit_tuned(known, "subscriber_id", TRIAL_DEPTHS, TRIAL_STEPS, iterations=ITERATIONS, patience=PATIENCE)
+    return learn.quality(learn.score(bundle.model, test, digits=None), threshold=bundle.threshold)
 
 
 @query("cross_validate")

@@ -6,14 +6,13 @@ import json
 import math
 import random
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 from cellrisk.functions.numeric import np_round
 from cellrisk.functions.scoring import with_predictions
 from cellrisk.operators import evaluate
+from cellrisk.operators.boosting import Boosting, EarlyStopping
 from cellrisk.operators.encode import ABSENT_VALUE, NON_FEATURES, NULL_VALUE, OneHotLevels, feature_list
 from cellrisk.operators.features import NetworkFeatures, SubscriberFeatures
 from cellrisk.operators.ordered import running
@@ -99,47 +99,15 @@ def boosted_trees(
     patience: int | None = None,
 ) -> Estimator:
     """Without `patience`, boosting with `validation` stops at the first round that gains less than a hundredth."""
+    if validation and patience:
+        return EarlyStopping(label, weight, validation, iterations, depth, step, subsample, seed, patience)
     learner = GBTClassifier(
         featuresCol="features", labelCol=label, maxIter=iterations, maxDepth=depth, stepSize=step,
         subsamplingRate=subsample, seed=seed, cacheNodeIds=False, maxMemoryInMB=512,
     )
     if weight:
         learner = learner.setWeightCol(weight)
-    learner = learner.setValidationIndicatorCol(validation) if validation else learner
-    return EarlyStopping(learner, patience) if validation and patience else learner
-
-
-class EarlyStopping(Estimator):
-    """Boosted trees up to the round of the least validation loss, looked for until `patience` rounds bring none.
-
-    Rounds are doubled from 64 on until then, or to the learner's own number: a round's tree does not depend on how many follow.
-    """
-
-    def __init__(self, learner: GBTClassifier, patience: int):
-        super().__init__()
-        self.learner, self.patience = learner, patience
-
-    def copy(self, extra=None) -> EarlyStopping:
-        return EarlyStopping(self.learner.copy(extra), self.patience)
-
-    def _fit(self, dataset: DataFrame):
-        mark = F.col(self.learner.getValidationIndicatorCol())
-        known, held, most = dataset.filter(~mark), checkpointed(dataset.filter(mark)), self.learner.getMaxIter()
-        if held.isEmpty():
-            return self._rounds(most).fit(known)
-        rounds = min(64, most)
-        while True:
-            model = self._rounds(rounds).fit(known)
-            losses = model.evaluateEachIteration(held)
-            best = losses.index(min(losses)) + 1
-            if rounds == most or rounds - best >= self.patience:
-                return model if best == rounds else self._rounds(best).fit(known)
-            rounds = min(2 * rounds, most)
-
-    def _rounds(self, rounds: int) -> GBTClassifier:
-        learner = self.learner.copy({self.learner.maxIter: rounds})
-        learner.clear(learner.validationIndicatorCol)
-        return learner
+    return learner.setValidationIndicatorCol(validation) if validation else learner
 
 
 def random_forest(label: str = "churned", trees: int = 30, depth: int = 6, weight: str | None = "class_weight", seed: int = SEED) -> RandomForestClassifier:
@@ -158,7 +126,10 @@ def train(
     )
     chosen = learner or boosted_trees(label, validation="is_validation")
     # Training reads its input again for every level of every tree: give it a written table.
-    fitted = chosen.fit(checkpointed(prepared))
+    written = checkpointed(prepared)
+    stops = isinstance(chosen, EarlyStopping) or (chosen.hasParam("validationIndicatorCol") and chosen.isSet("validationIndicatorCol"))
+    # A learner that does not stop by them is not shown the validation rows either, so learners compare on equal terms.
+    fitted = chosen.fit(written if stops else written.filter(~F.col("is_validation")))
     return PipelineModel([*features.stages, fitted])
 
 
@@ -208,44 +179,68 @@ def fit_bundle(rows: DataFrame, key: str, learner: Estimator | None = None, labe
     return ModelBundle(model, float(threshold), feature_names(model))
 
 
-class AveragePrecision(Evaluator):
-    """Average precision of the score column, by the step-wise definition."""
-
-    def __init__(self, label: str = "churned"):
-        super().__init__()
-        self.label = label
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        scored = dataset.select(self.label, probability_column().alias("churn_probability"))
-        return evaluate.average_precision(scored, label=self.label).first()["average_precision"] or 0.0
-
-    def isLargerBetter(self) -> bool:
-        return True
-
+def search(
+    rows: DataFrame, key: str, trials: Sequence[tuple[int, float]], label: str = "churned", iterations: int = 500, patience: int = 50,
+    rounds: int = 8, parallelism: int = 8, seed: int = SEED,
+) -> list[tuple[int, float, int, float]]:
+    """(depth, step, rounds, average precision on rows kept apart) of each trial, best first, by successive halving.
 
-def tune(
-    rows: DataFrame, key: str, depths: Sequence[int] = (3, 5), steps: Sequence[float] = (0.05, 0.1),
-    iterations: int = 10, label: str = "churned", parallelism: int = 4, patience: int | None = None,
-) -> DataFrame:
-    """Grid of parameters with the validation score of each, best first; boosting stops early on rows kept apart."""
+    All trials grow for `rounds` rounds; the better half goes on from there for as many again, and so on, each time with
+    twice the rounds, until one is left or `iterations` are reached. Trials share one written table of prepared rows; a
+    hash of the key sets a share of each class apart, the same for all. Equal results go to the shallower, then slower trial.
+    """
     features = fit_features(rows)
-    marked = stratified_split(rows, key, label, 0.15).withColumnRenamed("is_test", "is_validation")
+    marked = stratified_split(rows, key, label, 0.15, seed=seed).withColumnRenamed("is_test", "is_validation")
     prepared = checkpointed(
         with_class_weight(features.transform(marked), label).select(label, "class_weight", "is_validation", "features")
     )
-    learner = boosted_trees(label, iterations, validation="is_validation", patience=patience)
-    base = learner.learner if isinstance(learner, EarlyStopping) else learner
-    grid = ParamGridBuilder().addGrid(base.maxDepth, list(depths)).addGrid(base.stepSize, list(steps)).build()
-    search = TrainValidationSplit(
-        estimator=learner, estimatorParamMaps=grid, evaluator=AveragePrecision(label),
-        trainRatio=0.85, seed=SEED, parallelism=parallelism,
-    ).fit(prepared)
-    trials = [
-        (int(p[base.maxDepth]), float(p[base.stepSize]), float(m))
-        for p, m in zip(grid, search.validationMetrics, strict=True)
-    ]
-    trials.sort(key=lambda t: (-t[2], t[0], t[1]))
-    return rows.sparkSession.createDataFrame(trials, "max_depth int, step_size double, average_precision double")
+    held = checkpointed(prepared.filter("is_validation").select(label, "features"))
+    runs = {t: Boosting(prepared, label, depth=t[0], step=t[1], subsample=0.8, seed=seed) for t in dict.fromkeys(trials)}
+    done: dict[tuple[int, float], tuple[int, float]] = {}
+
+    def go(trial: tuple[int, float]) -> tuple[int, float, int, float]:
+        run = runs[trial]
+        run.grow(min(more, iterations - len(run.trees)), patience)
+        scored = run.model().transform(held).select(label, probability_column().alias("churned_score"))
+        found = evaluate.average_precision(scored, digits=10, label=label, score="churned_score").first()["average_precision"]
+        return (*trial, run.best(), float(found or 0.0))
+
+    left, more, grown = list(runs), rounds, 0
+    while True:
+        with ThreadPoolExecutor(parallelism) as pool:
+            results = sorted(pool.map(go, left), key=lambda r: (-r[3], r[0], r[1]))
+        done.update({r[:2]: r[2:] for r in results})
+        grown += more
+        if len(left) == 1 or grown >= iterations:
+            break
+        for r in results[(len(left) + 1) // 2 :]:
+            runs[r[:2]].close()
+        left = [r[:2] for r in results[: (len(left) + 1) // 2]]
+        more = grown
+    for trial in left:
+        runs[trial].close()
+    # A trial that went on further is ahead of one that was left behind.
+    places = {r[:2]: i for i, r in enumerate(results)}
+    told = [(*t, *done[t], places.get(t, len(runs)), len(runs[t].trees)) for t in runs]
+    told.sort(key=lambda r: (-r[5], r[4], -r[3], r[0], r[1]))
+    return [r[:4] for r in told]
+
+
+def tune(rows: DataFrame, key: str, depths: Sequence[int] = (3, 5), steps: Sequence[float] = (0.05, 0.1), label: str = "churned", **settings) -> DataFrame:
+    """All pairs of `depths` and `steps`, as `search` orders them: one row per trial."""
+    found = search(rows, key, [(d, s) for d in depths for s in steps], label, **settings)
+    listed = [(i, *r[:3], round(r[3], 6)) for i, r in enumerate(found, 1)]
+    return rows.sparkSession.createDataFrame(listed, "place int, max_depth int, step_size double, rounds int, average_precision double")
+
+
+def fit_tuned(
+    rows: DataFrame, key: str, depths: Sequence[int] = (3, 5), steps: Sequence[float] = (0.05, 0.1), label: str = "churned",
+    iterations: int = 500, patience: int = 50, **settings,
+) -> ModelBundle:
+    """Search, then fit the best trial's settings again on all of `rows` with early stopping and a tuned threshold."""
+    trials = [(d, s) for d in depths for s in steps]
+    depth, step, *_ = search(rows, key, trials, label, iterations, patience, **settings)[0]
+    return fit_bundle(rows, key, boosted_trees(label, iterations, depth, step, validation="is_validation", patience=patience), label)
 
 
 def quality(scored: DataFrame, label: str = "churned", threshold: float = 0.5) -> DataFrame:
