@@ -15,6 +15,8 @@ from cellrisk.llm.common import bounded_batches, release, store
 BITS = 64
 #: Queries of one row of the probe table; more queries that probe the same bucket are dealt to more rows.
 TOGETHER = 4096
+#: Rows that a task keeps before it hands them on.
+HELD = 2_000_000
 
 
 def sign_code(vector: str = "embedding") -> Column:
@@ -46,26 +48,51 @@ def _segmented(df: DataFrame, code: str, parts: list[tuple[int, int]]) -> DataFr
     return df.withColumn("_s", F.explode(each)).select(*df.columns, "_s.*")
 
 
+def _closest(q: np.ndarray, d: np.ndarray, code: np.ndarray, low: np.ndarray, k: int) -> list[np.ndarray]:
+    """The k nearest codes of each query, each code once."""
+    order = np.lexsort((low, d, q))
+    q, d, code, low = q[order], d[order], code[order], low[order]
+    # A code met in several segments counts once, else it would push others out of the k.
+    new = np.append(True, (q[1:] != q[:-1]) | (low[1:] != low[:-1])) if len(q) else np.zeros(0, bool)
+    q, d, code, low = q[new], d[new], code[new], low[new]
+    first = np.flatnonzero(np.append(True, q[1:] != q[:-1])) if len(q) else np.zeros(0, np.int64)
+    rank = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q))))
+    return [x[rank < k] for x in (q, d, code, low)]
+
+
 def _nearest(k: int):
-    """Keeps, of the codes met in a task's batch, the k nearest of each query: (q, d, code, low)."""
+    """Keeps, of all codes met in a task, the k nearest of each query, if no farther than the query's k-th so far: (q, d, code, low).
+
+    What is kept is cut back whenever it has doubled; beyond `HELD` rows it is handed on, so the memory of a task is bounded.
+    """
 
     def run(batches):
+        held, waiting, size, limit = None, [], 0, 1 << 16
+
+        def cut():
+            parts = [*([held] if held else []), *waiting]
+            return _closest(*(np.concatenate([p[i] for p in parts]) for i in range(4)), k) if parts else None
+
+        batch_of = lambda kept: pa.RecordBatch.from_arrays([pa.array(x) for x in kept], ["q", "d", "code", "low"])
         for batch in batches:
             lists = batch.column("queries")
-            size = np.diff(lists.offsets.to_numpy())
-            q = lists.flatten().to_numpy()
-            code = np.repeat(batch.column("code").to_numpy(), size)
-            low = np.repeat(batch.column("low").to_numpy(), size)
+            each, n = lists.flatten(), np.diff(lists.offsets.to_numpy())
+            q, farthest = each.field("q").to_numpy(), each.field("kth").to_numpy()
+            code = np.repeat(batch.column("code").to_numpy(), n)
+            low = np.repeat(batch.column("low").to_numpy(), n)
             d = np.bitwise_count((q ^ code).view(np.uint64)).astype(np.int32)
-            order = np.lexsort((low, d, q))
-            q, code, low, d = q[order], code[order], low[order], d[order]
-            # A code met in several segments counts once, else it would push others out of the k.
-            new = np.append(True, (q[1:] != q[:-1]) | (low[1:] != low[:-1])) if len(q) else np.zeros(0, bool)
-            q, code, low, d = q[new], code[new], low[new], d[new]
-            first = np.flatnonzero(np.append(True, q[1:] != q[:-1])) if len(q) else np.zeros(0, np.int64)
-            rank = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q))))
-            keep = rank < k
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (q, d, code, low)], ["q", "d", "code", "low"])
+            near = d <= farthest
+            waiting.append([x[near] for x in (q, d, code, low)])
+            size += int(near.sum())
+            if size >= limit:
+                held, waiting, size = cut(), [], 0
+                if len(held[0]) >= HELD:
+                    yield batch_of(held)
+                    held = None
+                limit = max(1 << 16, len(held[0]) if held else 0)
+        held = cut()
+        if held is not None:
+            yield batch_of(held)
 
     return run
 
@@ -87,7 +114,7 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFram
     few = known.withColumn("_n", F.row_number().over(by_id)).where(F.col("_n") <= most)
     index = store(few.groupBy("code").agg(F.min("id").alias("low"), F.sort_array(F.collect_list("id")).alias("ids")), "codes")
     asked = queries.where("id is not null and code is not null").select(F.col("id").alias("query_id"), F.col("code").alias("q")).distinct()
-    active = store(asked.select("q").distinct(), "queries")
+    active = store(asked.select("q").distinct().withColumn("kth", F.lit(BITS)), "queries")
     count, left = index.count(), active.count()
     parts = segments(count)
     table = _segmented(index.select("code", "low"), "code", parts).select("s", "value", "code", "low")
@@ -99,7 +126,7 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFram
             break
         probes = _segmented(active, "q", parts).join(spark.createDataFrame(masks, "width int, mask long"), "width")
         probes = probes.withColumn("value", F.col("value").bitwiseXOR(F.col("mask"))).withColumn("salt", F.pmod(F.xxhash64("q"), F.lit(salts)))
-        probes = probes.groupBy("s", "value", "salt").agg(F.collect_list("q").alias("queries"))
+        probes = probes.groupBy("s", "value", "salt").agg(F.collect_list(F.struct("q", "kth")).alias("queries"))
         bounded_batches(spark, rows=2000)
         met = table.join(probes, ["s", "value"]).select("code", "low", "queries")
         met = met.mapInArrow(_nearest(most), "q long, d int, code long, low long")
@@ -114,7 +141,10 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFram
         covered = len(parts) * (radius + 1) - 1
         sizes = best.join(index.select("code", F.size("ids").alias("_ids")), "code")
         sure = sizes.where(F.col("d") <= covered).groupBy("q").agg(F.sum("_ids").alias("_sure")).where(F.col("_sure") >= most)
-        more = store(active.join(sure, "q", "left_anti"), "queries")
+        # Of a query with enough codes, only those no farther than its last one can still come in.
+        full = best.groupBy("q").agg(F.when(F.count("*") >= most, F.max("d")).alias("_kth"))
+        open_ = active.join(sure, "q", "left_anti").join(full, "q", "left").select("q", F.coalesce("_kth", F.lit(BITS)).alias("kth"))
+        more = store(open_, "queries")
         release(active)
         active, radius, left = more, radius + 1, more.count()
     if best is None:
