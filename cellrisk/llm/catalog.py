@@ -92,9 +92,10 @@ with sized as (
            ('0x' || substr(md5(doc_id::varchar), 1, 15))::bigint as k from documents
 ), sums as (
     select source, sum(size)::bigint as source_size from sized group by source
+), named as (
+    select *, row_number() over (order by source collate "binary" nulls last) as r from sums
 ), ranked as (
-    select *, [5, 2, 1][((row_number() over (order by source collate "binary" nulls last) - 1) % 3 + 1)::int]::bigint as w,
-           source_size * 3 as cap, row_number() over (order by source collate "binary" nulls last) as r from sums where source_size > 0
+    select *, [5, 2, 1][((r - 1) % 3 + 1)::int]::bigint as w, source_size * 3 as cap from named where source_size > 0
 ), levels as (
     select *, sum(source_size) over () - coalesce(sum(cap) over (order by cap / w, r rows between unbounded preceding and 1 preceding), 0) as room,
            sum(w) over (order by cap / w, r rows between current row and unbounded following) as weights,

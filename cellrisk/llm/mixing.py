@@ -46,14 +46,14 @@ def running_sum(df: DataFrame, group: str, order: list[str], value: str, out: st
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3) -> DataFrame:
     """(source, source_size, target): all words shared by weight, no source above `epochs` times its size.
 
-    `sizes` has one row per source. Sources by code point, null last, take the weights in turn. The excess of a
+    `sizes` has one row per source. Sources by code point, null last, take the weights in turn, those without words too. The excess of a
     capped source goes to the others by weight: each gets min(cap, weight * level). Sources sorted by
     cap / weight are capped up to the first whose fair share of what is left lies below its cap; running sums
     find it without a loop. Whole numbers up to the last division, so the result is the same in any order.
     """
     dec = lambda c: F.col(c).cast("decimal(38,0)")
     by_name = W.orderBy(F.col("source").isNull(), F.col("source"))
-    ranked = sizes.where("source_size > 0").withColumn("_rank", F.row_number().over(by_name) - 1)
+    ranked = sizes.withColumn("_rank", F.row_number().over(by_name) - 1).where("source_size > 0")
     cycle = F.array(*[F.lit(int(w)) for w in weights])
     ranked = ranked.withColumn("_w", F.element_at(cycle, (F.col("_rank") % len(weights) + 1).cast("int")).cast("long"))
     ranked = ranked.withColumn("_cap", F.col("source_size") * epochs)

@@ -235,6 +235,12 @@ def test_mix_of_awkward_rows(docs, none, rows):
     assert all(r["source_size"] == sizes[r["source"]] and r["target"] == pytest.approx(goal[r["source"]]) and 0 <= r["taken"] <= 3 * r["size"] for r in got)
 
 
+def test_sources_without_words_take_their_weight(spark):
+    rows = [(1, None, "a"), (2, "w " * 100, "b"), (3, "w " * 100, "c")]
+    got = {r["source"]: r["target"] for r in mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got == {"a": 0.0, "b": pytest.approx(400 / 3), "c": pytest.approx(200 / 3)}
+
+
 def test_mix_comes_near_targets_and_agrees_with_itself(spark, sf_dir):
     one, two = (catalog.op7_source_mix(spark, sf_dir).toPandas().sort_values("doc_id", ignore_index=True) for _ in range(2))
     assert one.equals(two)
@@ -329,9 +335,13 @@ def test_awkward_vectors(spark):
     base = rng.normal(size=(60, 16))
     rows = [(i, v.tolist()) for i, v in enumerate(base)] + [(100 + i, (v + 0.05 * rng.normal(size=16)).tolist()) for i, v in enumerate(base)]
     rows += [(200, rows[0][1]), (201, rows[0][1]), (300, None), (301, [0.0] * 16), (302, [float("nan")] * 16), (303, [None] * 16), (304, []), (305, [float("inf")] + [1.0] * 15)]
+    tiny, huge = [1e-200 * x for x in rows[1][1]], [1e200 * x for x in rows[1][1]]
+    rows += [(202, tiny), (203, huge)]
     df = spark.createDataFrame([(*r, "x", "x") for r in rows], "vec_id long, embedding array<double>, rid string, weight string")
     got = {r["vec_id"]: r for r in lattice.near_vectors(df).collect()}
-    want = collections.Counter(x for pair in near_vectors(rows) for x in pair)
+    alike = [(i, [x * 1e200 for x in v] if v is tiny else [x * 1e-200 for x in v] if v is huge else v) for i, v in rows]
+    want = collections.Counter(x for pair in near_vectors(alike) for x in pair)
+    assert got[202]["component_id"] == got[203]["component_id"] == 1
     assert len(got) == len(rows) and all(got[i]["n_links"] == 0 and got[i]["component_id"] == i for i in range(300, 306))
     assert sum(r["n_links"] for r in got.values()) >= 0.9 * sum(want.values()) and got[201]["component_id"] == 0
     assert lattice.near_vectors(df.where("false")).count() == 0
