@@ -126,6 +126,8 @@ def plan(count: int, dims: int, cosine: float, recall: float, seed: int = 7, tri
 
 def _units(values) -> np.ndarray:
     rows = np.asarray(values, dtype=np.float64)
+    # By the largest component first, whose square neither vanishes nor overflows.
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True, initial=np.finfo(float).tiny)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
