@@ -31,8 +31,11 @@ def sign_code(vector: str = "embedding") -> Column:
 
 
 def segments(count: int) -> list[tuple[int, int]]:
-    """(first bit, width) of about 64 / log2(count) segments: a bucket then holds one code or so by chance."""
-    width = min(20, max(4, int(np.log2(max(count, 2)) + 0.5)))
+    """(first bit, width) of about 64 / log2(count / 4) segments: a bucket then holds four codes or so by chance.
+
+    Narrower segments are more in number, so a smaller radius covers the same distance, with far fewer buckets to probe.
+    """
+    width = min(20, max(4, int(np.log2(max(count, 2)) - 1.5)))
     n = -(-BITS // width)
     cuts = [BITS * i // n for i in range(n + 1)]
     return [(a, b - a) for a, b in zip(cuts[:-1], cuts[1:])]
