@@ -32,9 +32,6 @@ POSITIVE_WEIGHT = 4.5
 OVERSAMPLE_RATIO = 0.5
 NEIGHBORS = 5
 
-# Parts a projection is cut into at most; beyond that, parts are sliced by key hash.
-MAX_PARTS = 256
-
 
 class FeatureArray(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Aligned features as one vector: an absent column counts 0, NULL counts -999."""
@@ -352,16 +349,56 @@ def top_factors(df: DataFrame, weights: dict[str, float], k: int = 3, name: str
     return df.withColumn(name, F.transform(F.slice(F.array_sort(scored), 1, k), lambda e: e["f"]))
 
 
+def near_along(
+    points: DataFrame, key: str, dims: int, k: int = NEIGHBORS, projections: int = 6, reach: int = 8, block: int = 4096,
+    refine: int = 2, seed: int = SEED,
+) -> DataFrame:
+    """(key, other, place): up to `k` close rows of each row of `points` (key, z array of `dims` numbers), nearest first.
+
+    Along each of a few random directions all rows get a rank, over the whole table; equal projections are ordered by a
+    second one. Ranks are cut into blocks of `block` rows, and the `reach` rows at a block's border are copied to the block
+    beyond it, so every row meets the same rows wherever the borders lie. Then, `refine` times, each row also looks at the
+    close rows of its close rows (twice `k` are kept until the end), which makes up for what few directions miss as
+    rows become more. No group is paired with itself, however many rows look alike.
+    """
+    block, pool = max(block, reach), 2 * k
+    draw = random.Random(seed)
+    directions = [[draw.gauss(0.0, 1.0) for _ in range(dims)] for _ in range(projections)]
+    dot = lambda d: F.aggregate(F.zip_with("z", F.array(*map(F.lit, d)), lambda a, b: a * b), F.lit(0.0), lambda t, v: t + v)
+    along = [F.struct(dot(d).alias("at"), dot(directions[i - 1]).alias("then")) for i, d in enumerate(directions)]
+    long = points.select(key, "z", F.posexplode(F.array(*along)).alias("direction", "on"), F.lit(1).cast("bigint").alias("one"))
+    ranked = running(long, [F.col("direction"), F.col("on.at"), F.col("on.then"), F.col(key)], {"rank": "one"})
+    own = F.floor((F.col("rank") - 1) / block)
+    offset = (F.col("rank") - 1) % block
+    met = F.array_compact(F.array(own, F.when(offset < reach, own - 1), F.when(offset >= block - reach, own + 1)))
+    copied = ranked.withColumns({"own": own, "block": F.explode(met)})
+    order = Window.partitionBy("block").orderBy("rank")
+    other = F.struct("direction", F.col(key).alias("k"), "z")
+    beside = F.array(*[f(other, i).over(order) for i in range(1, reach + 1) for f in (F.lag, F.lead)])
+    sides = copied.withColumn("sides", beside).filter(F.col("block") == F.col("own"))
+    pairs = sides.select(key, "z", "direction", F.explode("sides").alias("o")).filter(F.col("o.direction") == F.col("direction"))
+    gap = lambda z: F.aggregate(F.zip_with("z", z, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, v: t + v).alias("gap")
+    nearest = Window.partitionBy(key).orderBy("gap", "other")
+    best = lambda found: found.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= pool)
+    near = checkpointed(best(pairs.select(key, F.col("o.k").alias("other"), gap(F.col("o.z"))).dropDuplicates([key, "other"])))
+    for _ in range(refine):
+        beyond = near.select(F.col(key).alias("other"), F.col("other").alias("next"))
+        new = near.select(key, "other").join(beyond, "other").filter(F.col("next") != F.col(key)).select(key, F.col("next").alias("other")).distinct()
+        new = new.join(near.select(key, "other"), [key, "other"], "left_anti")
+        new = new.join(points.select(key, "z"), key).join(points.select(F.col(key).alias("other"), F.col("z").alias("y")), "other")
+        near = checkpointed(best(near.drop("place").unionByName(new.select(key, "other", gap(F.col("y"))))))
+    return near.filter(F.col("place") <= k).select(key, "other", "place")
+
+
 def oversample(
     df: DataFrame, columns: Sequence[str], key: str, label: str = "churned", ratio: float = OVERSAMPLE_RATIO,
-    k: int = NEIGHBORS, projections: int = 3, reach: int = 5, block: int = 4096, seed: int = SEED,
+    k: int = NEIGHBORS, projections: int = 6, reach: int = 8, block: int = 4096, seed: int = SEED,
 ) -> DataFrame:
     """(label, columns.., synthetic): the rows plus interpolated positives until positives / negatives
     reaches `ratio`.
 
-    Neighbours are looked for along a few random directions: positives are ordered by their projection
-    within blocks of bounded size, and the `reach` rows on either side are compared by distance. No
-    group is paired with itself, however many rows look alike.
+    A synthetic row lies between a positive row and one of its neighbours (`near_along`, on scaled columns). A column that
+    either of the two has no value in keeps the first row's value or NULL.
     """
     names = list(columns)
     # One row of counts.
@@ -370,66 +407,22 @@ def oversample(
     original = df.select(label, *[F.col(c).cast("double") for c in names], F.lit(False).alias("synthetic"))
     if n_new == 0 or counts["n_positive"] < 2:
         return original
-    positives = df.filter(F.col(label) == 1)
+    known = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in names}
+    positives = df.filter(F.col(label) == 1).select(key, *[known[c].alias(f"_c{i}") for i, c in enumerate(names)])
     # One row of moments per column.
     moments = positives.agg(
-        *[F.struct(F.avg(c).alias("m"), F.coalesce(F.nullif(F.stddev_samp(c), F.lit(0.0)), F.lit(1.0)).alias("s")).alias(c) for c in names]
+        *[
+            F.struct(F.coalesce(F.avg(f"_c{i}"), F.lit(0.0)).alias("m"), F.coalesce(F.nullif(F.stddev_samp(f"_c{i}"), F.lit(0.0)), F.lit(1.0)).alias("s")).alias(f"_c{i}")
+            for i in range(len(names))
+        ]
     ).first()
-    raw = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float(NULL_VALUE))) for c in names])
-    scaled = F.array(*[F.coalesce((F.col(c) - F.lit(moments[c]["m"])) / F.lit(moments[c]["s"]), F.lit(0.0)) for c in names])
+    raw = F.array(*[F.col(f"_c{i}") for i in range(len(names))])
+    scaled = F.array(*[F.coalesce((F.col(c) - F.lit(moments[c]["m"])) / F.lit(moments[c]["s"]), F.lit(0.0)) for c in positives.columns[1:]])
     minority = checkpointed(positives.select(key, raw.alias("x"), scaled.alias("z")))
-
-    draw = random.Random(seed)
-    directions = [[draw.gauss(0.0, 1.0) for _ in names] for _ in range(projections)]
-    dots = [
-        F.aggregate(
-            F.zip_with("z", F.array(*[F.lit(d) for d in direction]), lambda a, b: a * b), F.lit(0.0), lambda t, v: t + v
-        )
-        for direction in directions
-    ]
-    long = minority.select(
-        key, "x", "z", F.posexplode(F.array(*dots)).alias("direction", "at")
-    )
-    parts = min(MAX_PARTS, max(1, math.ceil(counts["n_positive"] / block)))
-    if parts > 1:
-        points = [i / parts for i in range(1, parts)]
-        edges = long.groupBy("direction").agg(
-            F.percentile_approx("at", F.array(*[F.lit(p) for p in points]), F.lit(10 * parts)).alias("edges")
-        )
-        # One row per direction.
-        long = long.join(F.broadcast(edges), "direction").withColumn(
-            "part", F.size(F.filter("edges", lambda e: e < F.col("at")))
-        ).drop("edges")
-    else:
-        long = long.withColumn("part", F.lit(0))
-    # A part with too many rows, be it for their number or for one value they share, is spread over as
-    # many slices as it needs.
-    sizes = long.groupBy("direction", "part").agg(F.ceil(F.count(F.lit(1)) / F.lit(2.0 * block)).alias("slices"))
-    sliced = long.join(F.broadcast(sizes), ["direction", "part"]).withColumn(
-        "slice", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.col("slices"))
-    )
-    along = Window.partitionBy("direction", "part", "slice").orderBy("at", key)
-    other = F.struct(F.col(key).alias("k"), F.col("x").alias("x"), F.col("z").alias("z"))
-    beside = [f(other, i).over(along) for i in range(1, reach + 1) for f in (F.lag, F.lead)]
-    sides = [f"_side{i}" for i in range(len(beside))]
-    candidates = (
-        sliced.select(key, "x", "z", *[b.alias(n) for b, n in zip(beside, sides, strict=True)])
-        .select(key, "x", "z", F.explode(F.array(*sides)).alias("o"))
-        .filter(F.col("o").isNotNull())
-        .withColumn("other", F.col("o.k"))
-        .dropDuplicates([key, "other"])
-    )
-    gap = F.aggregate(
-        F.zip_with("z", F.col("o.z"), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, v: t + v
-    )
-    nearest = Window.partitionBy(key).orderBy("gap", "other")
-    neighbors = (
-        candidates.withColumn("gap", gap)
-        .withColumn("rn", F.row_number().over(nearest))
-        .filter(F.col("rn") <= k)
-        .groupBy(key)
-        .agg(F.first("x").alias("x"), F.array_sort(F.collect_list(F.struct("rn", F.col("o.x").alias("x")))).alias("near"))
-    )
+    near = near_along(minority.select(key, "z"), key, len(names), k, projections, reach, block, seed=seed)
+    told = near.join(minority.select(F.col(key).alias("other"), F.col("x").alias("y")), "other")
+    lists = told.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("place", F.col("y").alias("x")))).alias("near"))
+    neighbors = lists.join(minority.select(key, "x"), key)
     base, rest = divmod(n_new, counts["n_positive"])
     ranked = hash_ranks(neighbors.withColumn("_all", F.lit(0)), key, "_all", seed, "r")
     copies = F.lit(base) + F.when(F.col("r") < rest, 1).otherwise(0)
@@ -439,7 +432,7 @@ def oversample(
     pick = F.floor(uniform(key, F.col("i"), seed) * F.size("near")).cast("int")
     share = uniform(key, F.col("i"), seed + 1)
     placed = made.withColumns({"to": F.get(F.col("near"), pick)["x"], "u": share})
-    mixed = placed.withColumn("v", F.zip_with("x", "to", lambda a, b: a + F.col("u") * (b - a)))
+    mixed = placed.withColumn("v", F.zip_with("x", "to", lambda a, b: F.coalesce(a + F.col("u") * (b - a), a)))
     synthetic = mixed.select(
         F.lit(1).alias(label), *[F.get(F.col("v"), i).alias(c) for i, c in enumerate(names)], F.lit(True).alias("synthetic")
     )

@@ -93,3 +93,34 @@ def test_permutation_importance_finds_the_signal(bundle):
         fitted.model, test, "subscriber_id", features=["contract_risk_score", "sms_monthly"] if "sms_monthly" in fitted.features else ["contract_risk_score", "rsrp_avg"]
     ).collect()
     assert len(rows) == 2 and all(r["loss"] is not None for r in rows)
+
+
+def true_neighbors(z, k=5):
+    d = ((z[:, None, :] - z[None, :, :]) ** 2).sum(axis=2)
+    np.fill_diagonal(d, np.inf)
+    return np.sort(d, axis=1)[:, :k], d
+
+
+@pytest.mark.parametrize("n", [300, 1200])
+def test_neighbors_are_nearly_the_nearest_at_any_size(spark, n):
+    """Recall of the true five, at both sizes; blocks large and small find the same."""
+    z = np.random.default_rng(17).normal(size=(n, 3))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(z)], "id long, z array<double>").repartition(5)
+    best, d = true_neighbors(z)
+    found = []
+    for block in (4096, 40):
+        rows = learn.near_along(df, "id", 3, block=block).collect()
+        assert len(rows) == 5 * n and all(r["id"] != r["other"] for r in rows)
+        found.append({(r["id"], r["other"]) for r in rows})
+    assert found[0] == found[1]
+    hits = np.mean([d[a, b] <= best[a, -1] for a, b in found[0]])
+    assert hits >= 0.9, hits
+
+
+def test_equal_rows_and_missing_values_are_oversampled(spark):
+    rows = [(f"p{i}", 1, 1.0 if i < 40 else float(i), None if i % 3 == 0 else 2.0 * i) for i in range(60)] + [(f"n{i}", 0, 0.0, 1.0) for i in range(400)]
+    df = spark.createDataFrame(rows, "id string, churned int, a double, b double")
+    out = learn.oversample(df, ["a", "b"], "id", reach=3, block=16).filter("synthetic")
+    assert out.count() == 140
+    low = out.agg(F.min("a"), F.max("a"), F.min("b"), F.max("b")).first()
+    assert low[0] >= 1 and low[1] <= 59 and low[2] >= 0 and low[3] <= 118
