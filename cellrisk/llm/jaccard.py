@@ -25,6 +25,8 @@ RUN = 1 << 22
 PARITY = 2048
 #: Rounds in which a region's pivot is a document; what is then left of a region is compared pair by pair.
 ROUNDS = 3
+#: Sets that are compared with one set in one task.
+BLOCK = 256
 
 
 def sets_of(values: list[bytes | None], size: int = WORDS) -> list[np.ndarray]:
@@ -181,21 +183,6 @@ def _regions(reps: DataFrame) -> DataFrame:
     return small.unionByName(many.join(pivots, "u"))
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(rid, members) of the wanted representatives, from their texts."""
-
-    def members(batches):
-        for batch in batches:
-            found = sets_of(batch.column("_bytes").to_pylist())
-            same = [i for i, (x, fp) in enumerate(zip(found, batch.column("fp").to_pylist())) if fingerprint(x) == fp]
-            yield pa.RecordBatch.from_arrays([batch.column("rid").take(pa.array(same, pa.int64())), pa.array([found[i].view(np.int64) for i in same], pa.list_(pa.int64()))], ["rid", "members"])
-
-    bounded_batches(docs.sparkSession)
-    text = docs.select(F.col("doc_id").cast("long").alias("_id"), utf8().alias("_bytes"))
-    rows = text.join(wanted, F.col("_id").eqNullSafe(F.col("doc_id"))).select("_bytes", "rid", "fp")
-    return rows.mapInArrow(members, "rid long, members array<long>")
-
-
 def _within(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
     """The pairs (a, b) that may have `least` hundredths of their shingles in common, by sizes and parity bits.
 
@@ -209,14 +196,56 @@ def _within(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
     return both.where(sizes).where(differ * (100 + least) <= (F.col("_na") + F.col("_nb")) * (100 - least)).select("a", "b")
 
 
-def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, common, whole): sizes of intersection and union of each pair's sets."""
-    left = pairs.join(sets.select(F.col("rid").alias("a"), F.col("members").alias("_a")), "a")
-    both = left.join(sets.select(F.col("rid").alias("b"), F.col("members").alias("_b")), "b")
-    common = F.size(F.array_intersect("_a", "_b")).cast("long")
-    return both.select("a", "b", common.alias("common"), (F.size("_a") + F.size("_b")).cast("long").alias("_sum")).select(
-        "a", "b", "common", (F.col("_sum") - F.col("common")).alias("whole")
-    )
+def _measured(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(a, b, common, whole): sizes of intersection and union of each pair's sets.
+
+    Pairs are dealt in blocks of one b and about `BLOCK` of its a. Only sets that stand in a pair leave their text: that of
+    b once per block, that of a once per pair, and each block meets in one task, b first. The ids asked for are few where
+    bits have ruled out most pairs; then they are broadcast (Spark checks their size), else texts are shuffled to them.
+    """
+    spark = docs.sparkSession
+    blocks = pairs.groupBy("b").agg(F.ceil(F.count("*") / BLOCK).alias("_of"))
+    cut = pairs.join(blocks, "b").select("a", "b", F.pmod(F.xxhash64("a"), "_of").cast("int").alias("block"))
+    asked = cut.select("b", "block", F.lit(1).alias("side"), F.col("a").alias("rid"))
+    asked = asked.unionByName(cut.select("b", "block", F.lit(0).alias("side"), F.col("b").alias("rid")).distinct())
+    asked = store(asked.join(reps.select("rid", "doc_id", "fp"), "rid"), "asked")
+    keys = ["b", "block", "side", "rid"]
+
+    def members(batches):
+        value, found, mark = None, None, None
+        for batch in batches:
+            same, sets = [], []
+            for i, (text, fp) in enumerate(zip(batch.column("_bytes").to_pylist(), batch.column("fp").to_pylist())):
+                if found is None or text != value:
+                    value, found = text, sets_of([text])[0]
+                    mark = fingerprint(found)
+                if mark == fp:
+                    same.append(i)
+                    sets.append(found.view(np.int64))
+            some = pa.array(same, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(some) for k in keys), pa.array(sets, pa.list_(pa.int64()))], [*keys, "members"])
+
+    def measure(batches):
+        block, last, pivot = None, None, None
+        for batch in batches:
+            b, part, side, rid = (batch.column(k).to_numpy(zero_copy_only=False) for k in keys)
+            sets, out = batch.column("members"), []
+            for i in range(batch.num_rows):
+                found = sets[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
+                if side[i] == 0:
+                    block, pivot = (b[i], part[i]), found
+                elif (b[i], part[i], rid[i]) != last and block == (b[i], part[i]):
+                    last = (b[i], part[i], rid[i])
+                    common = len(np.intersect1d(pivot, found, assume_unique=True))
+                    out.append((rid[i], b[i], common, len(pivot) + len(found) - common))
+            columns = np.array(out, np.int64).reshape(-1, 4)
+            yield pa.RecordBatch.from_arrays([pa.array(columns[:, k]) for k in range(4)], ["a", "b", "common", "whole"])
+
+    bounded_batches(spark)
+    text = docs.select(F.col("doc_id").cast("long").alias("_id"), utf8().alias("_bytes"))
+    rows = text.join(asked, F.col("_id").eqNullSafe(F.col("doc_id"))).select("_bytes", "fp", *keys)
+    sets = rows.mapInArrow(members, "b long, block int, side int, rid long, members array<long>")
+    return sets.repartition("b", "block").sortWithinPartitions(*keys).mapInArrow(measure, "a long, b long, common long, whole long")
 
 
 def _linked() -> Column:
@@ -242,14 +271,12 @@ def _star_links(docs: DataFrame, reps: DataFrame) -> list[DataFrame]:
     """
     spark = docs.sparkSession
     rows = store(_regions(reps), "regions")
-    wanted = rows.select("rid").distinct().join(reps.select("rid", "doc_id", "fp"), "rid")
-    sets = store(_sets(docs, wanted), "sets")
     free_shuffles(spark)
     found: list[DataFrame] = []
     for _ in range(ROUNDS):
         star = rows.where("rid != pivot").select(F.col("rid").alias("a"), F.col("pivot").alias("b")).distinct()
         star = store(_within(star, reps, 2 * SIMILAR - 100), "stars")
-        known = store(_measured(star, sets), "stars")
+        known = store(_measured(star, docs, reps), "stars")
         free_shuffles(spark)
         found.append(known.where(_linked()).select("a", "b"))
         far = known.select(F.col("a").alias("rid"), F.col("b").alias("pivot"), "common", "whole")
@@ -263,7 +290,7 @@ def _star_links(docs: DataFrame, reps: DataFrame) -> list[DataFrame]:
         window = F.expr("4 * (x.common * y.whole - y.common * x.whole) <= x.whole * y.whole")
         near = apart.alias("y").join(placed.where(_linked()).alias("x"), "u").where(window & _possible("x", "y"))
         edge = store(_within(near.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct(), reps, SIMILAR), "edges")
-        found.append(store(_measured(edge, sets).where(_linked()).select("a", "b"), "edges"))
+        found.append(store(_measured(edge, docs, reps).where(_linked()).select("a", "b"), "edges"))
         again = outside.groupBy("u").agg(F.count("*").alias("_n"), F.min("rid").alias("_new")).where("_n > 1")
         after = store(outside.join(again, "u").select("u", "rid", "n", "at", F.col("_new").alias("pivot")), "regions")
         release(rows)
@@ -274,7 +301,7 @@ def _star_links(docs: DataFrame, reps: DataFrame) -> list[DataFrame]:
             return found
     left = rows.alias("x").join(rows.alias("y"), "u").where("x.rid < y.rid").where(_possible("x", "y"))
     left = store(_within(left.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct(), reps, SIMILAR), "edges")
-    return [*found, store(_measured(left, sets).where(_linked()).select("a", "b"), "edges")]
+    return [*found, store(_measured(left, docs, reps).where(_linked()).select("a", "b"), "edges")]
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
