@@ -21,7 +21,7 @@ SIMILAR = 75
 BITS = 23
 FREQUENT = 1 << 19
 RUN = 1 << 22
-#: Parity bits of a set: those of two sets differ in at most as many bits as the sets differ in shingles.
+#: Parity bits of a set, unless its size decides: those of two sets differ in at most as many bits as the sets differ in shingles.
 PARITY = 2048
 #: Rounds in which a region's pivot is a document; what is then left of a region is compared pair by pair.
 ROUNDS = 3
@@ -52,12 +52,17 @@ def home_pivots(found: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return found[order]
 
 
-def parity(found: np.ndarray) -> np.ndarray:
-    """Bit i: whether an odd number of the shingles falls on i."""
-    odd = np.bincount((found & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
+def parity(found: np.ndarray, bits: int = PARITY) -> np.ndarray:
+    """Bit i: whether an odd number of the shingles falls on i. Half of the bits: one half XOR the other."""
+    odd = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def parity_bits(n: int) -> int:
+    """Bits for a set of n shingles: four to eight a shingle, so that unrelated sets differ in most of what they may."""
+    return max(256, 1 << (4 * n - 1).bit_length())
+
+
 def _survey(docs: DataFrame) -> DataFrame:
     """Per row its set's size and fingerprint; and, marked by a null size, how often shingles occurred in runs of texts.
 
@@ -113,7 +118,7 @@ def _representatives(docs: DataFrame, frequent) -> DataFrame:
             rare = [int((~((bits[r >> np.uint64(67 - BITS)] >> (r >> np.uint64(64 - BITS) & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)).sum()) for r in rows]
             cuts = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
             flat = np.concatenate(rows).view(np.int64) if rows else np.zeros(0, np.int64)
-            odd = pa.array([parity(found[i]) for i in some], pa.list_(pa.int64()))
+            odd = pa.array([parity(found[i], parity_bits(len(found[i]))) for i in some], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(some, pa.int64())), pa.array([len(found[i]) for i in some], pa.int32()),
                  pa.array([fingerprint(found[i]) for i in some], pa.binary()), pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat)), pa.array(rare, pa.int32()), odd],
@@ -187,11 +192,15 @@ def _within(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
     """The pairs (a, b) that may have `least` hundredths of their shingles in common, by sizes and parity bits.
 
     The bound is exact: sets that are that similar differ in at most (100 - least) / (100 + least) of the sum of their
-    sizes, and their parity bits in no more. What is dropped here need not have its sets fetched.
+    sizes, and their parity bits in no more. Of sizes that pass one is at most twice the other, and so are the numbers of
+    their bits: the longer array is folded once. What is dropped here need not have its sets fetched.
     """
     side = lambda c: reps.select(F.col("rid").alias(c), F.col("n").cast("long").alias(f"_n{c}"), F.col("parity").alias(f"_p{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    differ = F.aggregate(F.zip_with("_pa", "_pb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
+    short = F.least(F.size("_pa"), F.size("_pb"))
+    half = lambda p: F.zip_with(F.slice(p, 1, short), F.slice(p, short + 1, short), lambda x, y: x.bitwiseXOR(y))
+    fold = lambda p: F.when(F.size(p) == short, F.col(p)).otherwise(half(p))
+    differ = F.aggregate(F.zip_with(fold("_pa"), fold("_pb"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
     sizes = F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * least
     return both.where(sizes).where(differ * (100 + least) <= (F.col("_na") + F.col("_nb")) * (100 - least)).select("a", "b")
 
@@ -260,8 +269,8 @@ def _possible(x: str, y: str) -> Column:
     return (least * 100 >= most * SIMILAR) & (rest * (100 + SIMILAR) >= (col(x, "n") + col(y, "n")) * SIMILAR)
 
 
-def _star_links(docs: DataFrame, reps: DataFrame) -> list[DataFrame]:
-    """Links (a, b) between representatives: enough to connect all similar ones, not every similar pair.
+def _star_links(docs: DataFrame, reps: DataFrame, rows: DataFrame) -> list[DataFrame]:
+    """Links (a, b) between representatives by their regions `rows`: enough to connect all similar ones, not every similar pair.
 
     Within a region the pivot is a document p. Members within the distance t = 0.25 of p link to it: its ball. A member y
     beyond it can be similar to some x of the ball only if d(y, p) - d(x, p) <= t (triangle inequality), so only those
@@ -270,7 +279,6 @@ def _star_links(docs: DataFrame, reps: DataFrame) -> list[DataFrame]:
     so pairs that sizes or parity bits show to be that far apart are not measured.
     """
     spark = docs.sparkSession
-    rows = store(_regions(reps), "regions")
     free_shuffles(spark)
     found: list[DataFrame] = []
     for _ in range(ROUNDS):
@@ -320,8 +328,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
     """
     survey = store(_survey(docs), "survey")
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(survey))
-    reps = store(_representatives(docs, frequent), "representatives")
-    roots = components(_union(_star_links(docs, reps)))
+    pivots = store(_representatives(docs, frequent), "representatives")
+    regions = store(_regions(pivots), "regions")
+    reps = store(pivots.drop("pivots", "rare"), "representatives")
+    release(pivots)
+    roots = components(_union(_star_links(docs, reps, regions)))
     rows = survey.where("n is not null").select("doc_id", F.col("n").alias("n_shingles"), "fp")
     groups = reps.select("fp", "rid").join(roots.withColumnRenamed("node", "rid"), "rid", "left")
     groups = groups.select("fp", F.coalesce("root", "rid").alias("_group"))
