@@ -79,6 +79,8 @@ def request_errors(df: DataFrame) -> Column:
         if high is not None:
             bad = bad | (F.col(name) > F.lit(high))
         checks.append((bad, f"{name}: out of range"))
+    fields = {*REQUIRED, *FIELD_DEFAULTS, *CONTEXT_DEFAULTS} - set(RANGES)
+    checks += [(F.isnan(c), f"{c}: not a number") for c, kind in df.dtypes if c in fields and kind in ("double", "float")]
     for name, values in ALLOWED.items():
         if name in have:
             checks.append((~F.col(name).isin(*values), f"{name}: not allowed"))

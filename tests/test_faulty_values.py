@@ -45,3 +45,10 @@ def test_decisions_on_the_raw_probability(spark):
     df = spark.createDataFrame([(0.69996, 100.0)], "churn_probability double, monthly_charges double")
     row = with_predictions(df, threshold=0.69998, digits=4).first()
     assert (row["churn_probability"], row["risk_tier"], row["churn_predicted"]) == (0.7, "HIGH", 0)
+
+
+def test_nan_signal_is_refused(spark):
+    df = spark.createDataFrame([(NAN, -9.0), (-95.0, NAN), (-95.0, -9.0)], "rsrp_avg double, rsrq_avg double")
+    got = [r[0] for r in df.select(requests.request_errors(df)).collect()]
+    assert "rsrp_avg: not a number" in got[0] and "rsrq_avg: not a number" in got[1]
+    assert not any("not a number" in x for x in got[2])
