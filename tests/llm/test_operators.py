@@ -135,6 +135,19 @@ def test_parity_bits_differ_no_more_than_sets():
         assert not (jaccard.parity(one) ^ jaccard.parity(one[::-1])).any()
 
 
+def test_folded_parity_keeps_similar_sets(spark):
+    """Sets of one share of common shingles, on both sides of a step in the number of bits: none that may link is ruled out."""
+    rng = np.random.default_rng(5)
+    rows, pairs = [], []
+    for i, (n, m, common) in enumerate([(1000, 1100, 950), (1000, 1040, 1000), (60, 66, 60), (3, 3, 3), (2000, 2100, 0), (5, 300, 5)]):
+        pool = rng.integers(0, 1 << 63, size=n + m - common, dtype=np.uint64)
+        for rid, found in ((2 * i, pool[:n]), (2 * i + 1, pool[n - common :])):
+            rows.append((rid, len(found), jaccard.parity(np.sort(found), jaccard.parity_bits(len(found))).tolist()))
+        pairs.append((2 * i, 2 * i + 1))
+    reps, asked = spark.createDataFrame(rows, "rid long, n int, parity array<long>"), spark.createDataFrame(pairs, "a long, b long")
+    assert {r["a"] // 2 for r in jaccard._within(asked, reps, jaccard.SIMILAR).collect()} == {0, 1, 2, 3}
+
+
 def test_one_of_each_group_stays(docs, none):
     kept = [r["doc_id"] for r in jaccard.without_copies(docs).select("doc_id").collect()]
     assert kept.count(9) == 1 and 2 not in kept and 1 in kept and {4, 5, 6} <= set(kept)
