@@ -36,6 +36,17 @@ def seeded_sample(spark, sf_dir):
     return splits.seeded_sample(base, "subscriber_id", 5000)
 
 
+@query(
+    "sample_per_class",
+    """select subscriber_id, latitude, longitude, churned from (
+         select *, row_number() over (partition by churned order by md5('42:' || subscriber_id)) as place from subscribers)
+       where place <= 300""",
+)
+def sample_per_class(spark, sf_dir):
+    base = subscribers(spark, sf_dir, ["subscriber_id", "latitude", "longitude", "churned"])
+    return splits.sample_per_group(base, "subscriber_id", "churned", 300)
+
+
 @query("stratified_split")
 def stratified_split(spark, sf_dir):
     base = subscribers(spark, sf_dir, ["subscriber_id", "churned"])

@@ -8,7 +8,7 @@ from cellrisk.catalog.risk import _OBSERVED, observed
 from cellrisk.catalog.tables import cut_sql, mean, money, r
 from cellrisk.functions.numeric import cut
 from cellrisk.operators import features as ft
-from cellrisk.operators import profile
+from cellrisk.operators import information, profile
 from cellrisk.sources.testbed import cell_towers, subscribers
 
 _RATE = f"{r(mean('churned'), 6)} as churn_rate, count(*) as n, cast(sum(churned) as bigint) as n_churned"
@@ -65,7 +65,11 @@ def null_counts(spark, sf_dir):
     return profile.null_counts(faulty_requests(spark, sf_dir))
 
 
-_NUMERIC = ["tenure_months", "monthly_charges", "total_charges", "rsrq_avg", "outage_minutes_monthly", "latitude"]
+_NUMERIC = [
+    "senior_citizen", "phone_service", "multiple_lines", "international_calls", "tenure_months", "monthly_charges",
+    "total_charges", "data_usage_gb", "call_minutes_monthly", "sms_monthly", "tech_support_calls", "rsrp_avg", "rsrq_avg",
+    "dl_throughput_mbps", "call_drop_rate_pct", "call_drops_monthly", "outage_minutes_monthly", "latitude", "longitude",
+]
 
 
 def _describe_sql(source: str, columns: list[str]) -> str:
@@ -157,6 +161,11 @@ def corr_matrix(spark, sf_dir):
     return profile.corr_matrix(subscribers(spark, sf_dir, profile.CORRELATION_COLUMNS))
 
 
+@query("corr_matrix_numeric", _corr_sql("subscribers", _NUMERIC))
+def corr_matrix_numeric(spark, sf_dir):
+    return profile.corr_matrix(subscribers(spark, sf_dir, _NUMERIC), _NUMERIC)
+
+
 _CORR_FEATURES = [
     "tenure_months", "is_long_term", "total_charges", "charge_per_month_tenure", "tech_support_calls",
     "support_per_month", "call_drops_monthly", "network_frustration_index", "network_quality_score", "rsrq_avg",
@@ -205,3 +214,26 @@ def mutual_information(spark, sf_dir):
     return profile.mutual_information(subscribers(spark, sf_dir, ["churned", *_MI]), _MI)
 
 
+def _neighbour_mi_sql(c: str) -> str:
+    return f"""select '{c}' as feature, {r('greatest(avg(pn.y - pl.y + ps.y - pm.y), 0e0)', 6)} as mi from (
+      with p as (select row_number() over () as i, cast({c} as double) as v, churned as g from subscribers where {c} is not null),
+      d as (select a.i, a.v, a.g, min(abs(b.v - a.v), 3)[3] as reach from p a join p b on a.g = b.g and a.i <> b.i group by 1, 2, 3),
+      e as (select a.i, a.v, a.g, a.reach, count(*) as l, count(*) filter (where b.v = a.v or abs(b.v - a.v) < a.reach) as s,
+          coalesce(max(b.v) filter (where b.v < a.v and a.v - b.v = a.reach), a.v - a.reach) as low,
+          coalesce(min(b.v) filter (where b.v > a.v and b.v - a.v = a.reach), a.v + a.reach) as high
+        from d a join p b on a.g = b.g group by 1, 2, 3, 4)
+      select a.i, a.l, a.s, (select count(*) from p) as n,
+        count(*) filter (where case when a.reach = 0 then b.v = a.v else b.v > a.low and b.v < a.high end) as m
+      from e a join p b on b.v >= a.low and b.v <= a.high group by 1, 2, 3) x
+      join psi pn on pn.n = x.n join psi pl on pl.n = x.l join psi ps on ps.n = x.s join psi pm on pm.n = x.m"""
+
+
+@query(
+    "mutual_information_neighbours",
+    """with psi as (select 1 as n, -0.5772156649015329e0 as y union all
+      select i + 1, sum(1e0 / i) over (order by i) - 0.5772156649015329e0
+      from (select unnest(range(1, (select count(*) from subscribers))) as i))
+    select * from (""" + " union all ".join(_neighbour_mi_sql(c) for c in _NUMERIC) + ")",
+)
+def mutual_information_neighbours(spark, sf_dir):
+    return information.neighbour_information(subscribers(spark, sf_dir, ["churned", *_NUMERIC]), _NUMERIC)

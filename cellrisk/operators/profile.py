@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellrisk.functions.numeric import clip, money_sum, np_round, steady_mean
@@ -164,20 +164,46 @@ def histogram(df: DataFrame, column: str, by: str, bins: int = 50, digits: int =
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str] = CORRELATION_COLUMNS, digits: int = 6) -> DataFrame:
-    """Lower triangle with diagonal of Pearson's r, all pairs in one aggregation."""
+    """Lower triangle with diagonal of Pearson's r over the rows that hold both values; NULL where one is constant.
+
+    A first pass reads mean, range and NULLs of each column. Columns without NULL share their centred sums of squares,
+    so a pair of them costs one sum of products; pairs with a NULL column are summed over their own rows.
+    """
+    number = {c: F.col(c).cast("double") for c in columns}
+    facts = df.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[f(x).alias(f"{c}:{name}") for c, x in number.items()
+          for name, f in (("n", F.count), ("mean", F.avg), ("low", F.min), ("high", F.max))],
+    ).first()
+    full = {c for c in columns if facts["_rows"] and facts[f"{c}:n"] == facts["_rows"]}
+    fixed = {c for c in full if facts[f"{c}:low"] == facts[f"{c}:high"]}
+    centred = df.select(*[(x - F.lit(facts[f"{c}:mean"])).alias(c) if c in full else x.alias(c) for c, x in number.items()])
     pairs = [(b, a) for a, b in combinations_with_replacement(columns, 2)]
-    wide = df.agg(
+    shared = {p for p in pairs if full.issuperset(p) and not fixed.intersection(p)}
+    alone = [p for p in pairs if not full.issuperset(p) and not fixed.intersection(p)]
+    sums = centred.agg(
+        *[F.sum(c).alias(f"{c}:sum") for c in sorted(full - fixed)],
+        *[F.sum(F.col(a) * F.col(b)).alias(f"{a}:{b}") for a, b in pairs if (a, b) in shared],
+        *[F.corr(a, b).alias(f"{a}:{b}") for a, b in alone],
+    )
+
+    def moment(a: str, b: str) -> Column:
+        # What rounding left of the centred sums is taken off again.
+        return F.col(f"{a}:{b}") - F.col(f"{a}:sum") * F.col(f"{b}:sum") / F.lit(float(facts["_rows"]))
+
+    def pearson(a: str, b: str) -> Column:
+        if fixed.intersection((a, b)):
+            return F.lit(None).cast("double")
+        if (a, b) not in shared:
+            return F.col(f"{a}:{b}")
+        return F.lit(1.0) if a == b else moment(a, b) / F.sqrt(moment(a, a) * moment(b, b))
+
+    wide = sums.select(
         F.array(
-            *[
-                F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(a, b).alias("r"))
-                for a, b in pairs
-            ]
+            *[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), pearson(a, b).alias("r")) for a, b in pairs]
         ).alias("pairs")
     )
-    return (
-        wide.select(F.explode("pairs").alias("p"))
-        .select("p.a", "p.b", np_round("p.r", digits).alias("r"))
-    )
+    return wide.select(F.explode("pairs").alias("p")).select("p.a", "p.b", np_round("p.r", digits).alias("r"))
 
 
 def corr_pairs(df: DataFrame, columns: Sequence[str], threshold: float = PAIR_THRESHOLD) -> DataFrame:

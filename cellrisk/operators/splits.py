@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 SEED = 42
 HASH_BITS = 16
+#: Hexadecimal digits per step of the search for a sample's threshold.
+DIGITS = 4
 
 
 def key_hash(key: str, seed: int = SEED) -> Column:
@@ -26,6 +28,41 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFram
     return df.orderBy(key_hash(key, seed), F.col(key)).limit(n)
 
 
+def sample_per_group(df: DataFrame, key: str, group: str, n: int, seed: int = SEED) -> DataFrame:
+    """`n` rows of each group without replacement (all of a smaller one): those whose md5 of `seed:key` comes first.
+
+    No group is ordered. Counts by the leading digits of the hash say in which prefix the n-th row lies; counts of the
+    next digits narrow that prefix to about one row in 2^32, and only there are rows ranked. Rows of a NULL key count as
+    rows of an empty one; rows that share a key at the cut are interchangeable.
+    """
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    rows = df.withColumns({"_md5": digest, "_left": F.lit(n).cast("bigint"), "_in": F.lit(False)})
+    for start in (1, 1 + DIGITS):
+        part = F.substring("_md5", start, DIGITS)
+        counted = rows.filter(~F.col("_in")).groupBy(F.col(group).alias("_g"), part.alias("_p"), "_left").agg(
+            F.count(F.lit(1)).alias("_n")
+        )
+        # At most 16^DIGITS rows of each group.
+        upto = F.sum("_n").over(Window.partitionBy("_g").orderBy("_p"))
+        cut = counted.withColumn("_upto", upto).filter(F.col("_upto") - F.col("_n") < F.col("_left"))
+        edges = cut.groupBy("_g").agg(
+            F.max_by("_p", "_upto").alias("_cut"),
+            F.max_by(F.col("_left") - F.col("_upto") + F.col("_n"), "_upto").alias("_rest"),
+        )
+        joined = rows.join(edges, F.col(group).eqNullSafe(F.col("_g")), "left")
+        rows = (
+            joined.filter(F.col("_in") | (part <= F.col("_cut")))
+            .withColumns({"_in": F.col("_in") | (part < F.col("_cut")), "_left": F.col("_rest")})
+            .drop("_g", "_cut", "_rest")
+        )
+    ranked = rows.filter(~F.col("_in")).withColumn(
+        "_rank", F.row_number().over(Window.partitionBy(group).orderBy("_md5"))
+    )
+    # The literal lets each task keep n rows at most before they meet.
+    last = ranked.filter((F.col("_rank") <= n) & (F.col("_rank") <= F.col("_left")))
+    return rows.filter("_in").select(*df.columns).unionByName(last.select(*df.columns))
+
+
 def hash_ranks(df: DataFrame, key: str, group: str, seed: int = SEED, name: str = "hash_rank") -> DataFrame:
     """Exact 0-based rank by key hash within each group, plus the group size `<name>_n`.
 

@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -124,3 +126,16 @@ def test_equal_rows_and_missing_values_are_oversampled(spark):
     assert out.count() == 140
     low = out.agg(F.min("a"), F.max("a"), F.min("b"), F.max("b")).first()
     assert low[0] >= 1 and low[1] <= 59 and low[2] >= 0 and low[3] <= 118
+
+
+def test_sample_per_group_takes_the_first_hashes(spark):
+    rows = [(f"s{i}", ["a", "b", None][0 if i % 10 < 8 else 1 + i % 2]) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id string, kind string")
+    found = splits.sample_per_group(df, "id", "kind", 250).collect()
+    for kind in ("a", "b", None):
+        ranked = sorted((x for x, g in rows if g == kind), key=lambda x: hashlib.md5(f"42:{x}".encode()).hexdigest())
+        assert sorted(r["id"] for r in found if r["kind"] == kind) == sorted(ranked[:250])
+    repeated = spark.createDataFrame([("same", "a")] * 40 + [(None, "a")] * 5 + [("b", "b")], "id string, kind string")
+    assert splits.sample_per_group(repeated, "id", "kind", 10).groupBy("kind").count().collect() != []
+    assert splits.sample_per_group(repeated, "id", "kind", 10).filter("kind = 'a'").count() == 10
+    assert splits.sample_per_group(df.limit(0), "id", "kind", 5).count() == 0

@@ -107,3 +107,19 @@ def test_leave_one_out_of_a_single_row_is_null(spark):
     df = spark.createDataFrame([("a", 1), ("a", 0), ("a", 0), ("b", 1)], "cell string, churned int")
     got = leave_one_out_rate(df, "cell").orderBy("cell", "churned").collect()
     assert [r["cell_churn_rate_loo"] for r in got] == [0.5, 0.5, 0.0, None]
+
+
+def test_correlations_with_null_constant_and_far_values(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(0, 1, 500)
+    rows = [(float(a), float(1e9 + a + e), None if i % 3 == 0 else float(a * e), 7.5) for i, (a, e) in enumerate(zip(x, rng.normal(0, 1, 500)))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    found = {(r["a"], r["b"]): r["r"] for r in profile.corr_matrix(df, ["a", "b", "c", "d"]).collect()}
+    frame = df.toPandas()
+    assert len(found) == 10
+    for (a, b), r in found.items():
+        if "d" in (a, b):
+            assert r is None
+        else:
+            assert r == pytest.approx(frame[a].corr(frame[b]), abs=1e-5)
+    assert all(r["r"] is None for r in profile.corr_matrix(df.limit(0), ["a", "b"]).collect())
