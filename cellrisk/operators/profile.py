@@ -187,23 +187,25 @@ def corr_matrix(df: DataFrame, columns: Sequence[str] = CORRELATION_COLUMNS, dig
         *[F.corr(a, b).alias(f"{a}:{b}") for a, b in alone],
     )
 
-    def moment(a: str, b: str) -> Column:
-        # What rounding left of the centred sums is taken off again.
-        return F.col(f"{a}:{b}") - F.col(f"{a}:sum") * F.col(f"{b}:sum") / F.lit(float(facts["_rows"]))
-
-    def pearson(a: str, b: str) -> Column:
-        if fixed.intersection((a, b)):
-            return F.lit(None).cast("double")
-        if (a, b) not in shared:
-            return F.col(f"{a}:{b}")
-        return F.lit(1.0) if a == b else moment(a, b) / F.sqrt(moment(a, a) * moment(b, b))
-
-    wide = sums.select(
-        F.array(
-            *[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), pearson(a, b).alias("r")) for a, b in pairs]
-        ).alias("pairs")
-    )
-    return wide.select(F.explode("pairs").alias("p")).select("p.a", "p.b", np_round("p.r", digits).alias("r"))
+    missing = F.lit(None).cast("double")
+
+    def entry(a: str, b: str) -> Column:
+        known = (a, b) in shared
+        pick = {"ab": f"{a}:{b}", "aa": f"{a}:{a}", "bb": f"{b}:{b}", "sum_a": f"{a}:sum", "sum_b": f"{b}:sum"}
+        other = missing if known or fixed.intersection((a, b)) else F.col(f"{a}:{b}")
+        return F.struct(
+            F.lit(a).alias("a"), F.lit(b).alias("b"), other.alias("other"),
+            *[(F.col(c) if known else missing).alias(name) for name, c in pick.items()],
+        )
+
+    long = sums.select(F.explode(F.array(*[entry(a, b) for a, b in pairs])).alias("p")).select("p.*")
+    # What rounding left of the centred sums is taken off again.
+    rows = F.lit(float(facts["_rows"]))
+    covariance = F.col("ab") - F.col("sum_a") * F.col("sum_b") / rows
+    spread = (F.col("aa") - F.col("sum_a") * F.col("sum_a") / rows) * (F.col("bb") - F.col("sum_b") * F.col("sum_b") / rows)
+    own = F.when((F.col("a") == F.col("b")) & F.col("ab").isNotNull() & ~F.isnan("ab"), F.lit(1.0))
+    r = F.coalesce(own, F.try_divide(covariance, F.sqrt(spread)), "other")
+    return long.select("a", "b", np_round(r, digits).alias("r"))
 
 
 def corr_pairs(df: DataFrame, columns: Sequence[str], threshold: float = PAIR_THRESHOLD) -> DataFrame:
