@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellrisk.catalog.features import faulty_requests
 from cellrisk.catalog.registry import query
@@ -63,6 +64,41 @@ def quarantine_stream(spark, sf_dir):
     return spark.read.parquet(bad).select("subscriber_id", F.concat_ws("; ", "errors").alias("reasons"))
 
 
+def json_lines(rows):
+    """The rows as lines of JSON of which some are broken, badly typed or hold NaN as their signal."""
+    key = F.col("c_custkey")
+    names = [c for c in rows.columns if c != "c_custkey"]
+    as_text = {"tenure_months": F.when(key % 7 == 0, F.lit("two years")), "rsrp_avg": F.when(key % 5 == 0, F.lit("NaN"))}
+    fields = [F.coalesce(as_text[c], F.col(c).cast("string")).alias(c) if c in as_text else F.col(c) for c in names]
+    line = F.to_json(F.struct(*fields))
+    cut = F.expr("left(line, length(line) - 1)")
+    return rows.select(key, line.alias("line")).select(F.when(key % 23 == 0, cut).otherwise(F.col("line")).alias("value"))
+
+
+@query(
+    "json_quarantine",
+    """select subscriber_id, reasons, count(*) as n from (
+       select case when c_custkey % 23 <> 0 then subscriber_id end as subscriber_id,
+       case when c_custkey % 23 = 0 then 'request: not JSON' else concat_ws('; ',
+         case when c_custkey % 7 = 0 then 'tenure_months: not a int' end,
+         case when c_custkey % 19 = 0 then 'monthly_charges: missing' end,
+         case when c_custkey % 13 = 0 and c_custkey % 7 <> 0 then 'tenure_months: out of range' end,
+         case when c_custkey % 17 = 0 then 'latitude: out of range' end,
+         case when c_custkey % 5 = 0 then 'rsrp_avg: not a number' end,
+         case when c_custkey % 11 = 0 then 'contract_type: not allowed' end) end as reasons
+       from subscribers) where reasons <> '' group by 1, 2""",
+)
+def json_quarantine(spark, sf_dir):
+    path, good, bad = (scratch_path(spark, n) for n in ("json_requests", "accepted", "quarantine"))
+    rows = faulty_requests(spark, sf_dir).drop("snapshot_date", "churned", "churn_probability")
+    json_lines(rows).repartition(4).write.text(path)
+    schema = T.StructType([f for f in rows.schema.fields if f.name != "c_custkey"])
+    arriving = scoring.read_json_requests(spark, path, schema, files_per_trigger=2)
+    scoring.quarantine_stream(arriving, good, bad, scratch_path(spark, "offsets")).awaitTermination()
+    refused = spark.read.parquet(bad).select("subscriber_id", F.concat_ws("; ", "errors").alias("reasons"))
+    return refused.groupBy("subscriber_id", "reasons").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _event_files(spark, sf_dir):
     """The events as four files in time order."""
     path = scratch_path(spark, "events")

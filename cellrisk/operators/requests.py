@@ -4,6 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Column for the text of a request that is no JSON object.
+CORRUPT = "_corrupt_record"
+#: Column for the reasons found while types were given; `check_rows` adds its own to them.
+TYPE_ERRORS = "_type_errors"
 
 # Request fields (required, lowest, highest), allowed sets and defaults.
 REQUIRED = ["subscriber_id", "tenure_months", "monthly_charges", "total_charges", "data_usage_gb", "latitude", "longitude"]
@@ -84,12 +90,46 @@ def request_errors(df: DataFrame) -> Column:
     for name, values in ALLOWED.items():
         if name in have:
             checks.append((~F.col(name).isin(*values), f"{name}: not allowed"))
-    return F.array_compact(F.array(*[F.when(bad, F.lit(reason)) for bad, reason in checks]))
+    found = F.array_compact(F.array(*[F.when(bad, F.lit(reason)) for bad, reason in checks]))
+    if TYPE_ERRORS not in have:
+        return found
+    # A field of the wrong type is named once: it is not missing, and a broken request has no fields to check.
+    typed = F.col(TYPE_ERRORS)
+    named = F.transform(typed, lambda e: F.substring_index(e, ":", 1))
+    other = F.filter(found, lambda e: ~F.array_contains(named, F.substring_index(e, ":", 1)))
+    return F.when(F.array_contains(named, "request"), typed).otherwise(F.concat(typed, other))
+
+
+def text_schema(schema: T.StructType) -> T.StructType:
+    """The fields of `schema` as text, so that a badly typed one arrives as it was sent."""
+    return T.StructType([T.StructField(n, T.StringType()) for n in [*schema.fieldNames(), CORRUPT]])
+
+
+def with_types(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows read by `text_schema` with the types of `schema`, and their type errors.
+
+    A field that does not hold its type becomes NULL with the reason `<field>: not a <type>`; whole numbers may be written
+    with a zero fraction. A line that is no JSON object has NULL in all fields and the one reason `request: not JSON`.
+    """
+    fields, checks = [], [(F.col(CORRUPT).isNotNull(), "request: not JSON")]
+    for field in schema.fields:
+        given, kind = F.col(field.name), field.dataType
+        if isinstance(kind, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+            number = given.try_cast("decimal(38,6)")
+            value = F.when(number == F.floor(number), number).try_cast(kind)
+        else:
+            value = given.try_cast(kind)
+        fields.append(value.alias(field.name))
+        if not isinstance(kind, T.StringType):
+            bad = F.col(CORRUPT).isNull() & given.isNotNull() & value.isNull()
+            checks.append((bad, f"{field.name}: not a {kind.simpleString()}"))
+    errors = F.array_compact(F.array(*[F.when(bad, F.lit(reason)) for bad, reason in checks]))
+    return raw.select(*fields, errors.alias(TYPE_ERRORS))
 
 
 def check_rows(df: DataFrame) -> DataFrame:
     """Add `errors`. Filter on its size for accepted and quarantined rows."""
-    return df.withColumn("errors", request_errors(df))
+    return df.withColumn("errors", request_errors(df)).drop(TYPE_ERRORS)
 
 
 def accepted(checked: DataFrame) -> DataFrame:

@@ -27,6 +27,18 @@ def read_requests(spark: SparkSession, path: str, schema: T.StructType, files_pe
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
+def read_json_requests(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 100) -> DataFrame:
+    """Requests as lines of JSON. Nothing fails on a bad line: its faults come as reasons with the row."""
+    lines = (
+        spark.readStream.schema(requests.text_schema(schema))
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", requests.CORRUPT)
+        .option("maxFilesPerTrigger", files_per_trigger)
+        .json(path)
+    )
+    return requests.with_types(lines, schema)
+
+
 def with_cell_context(rows: DataFrame, grid: DataFrame | None, resolution: int = CELL_RESOLUTION) -> DataFrame:
     """Neighbourhood values of the last batch grid; a new cell keeps them NULL and gets the defaults."""
     placed = rows.withColumn("cell", grid_cell("latitude", "longitude", resolution))
@@ -69,12 +81,16 @@ def quarantine_stream(
     """Two-way write per micro-batch. Each batch overwrites its own folder, so a replay adds nothing."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        checked = requests.check_rows(batch)
-        for rows, path in (
-            (requests.accepted(checked), accepted_path),
-            (requests.quarantined(checked), quarantine_path),
-        ):
-            rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        # Read and checked once for both writes; blocks lost with an executor are computed again from the files.
+        checked = requests.check_rows(batch).persist()
+        try:
+            for rows, path in (
+                (requests.accepted(checked), accepted_path),
+                (requests.quarantined(checked), quarantine_path),
+            ):
+                rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            checked.unpersist()
 
     return (
         requests_stream.writeStream.foreachBatch(write)

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,3 +71,37 @@ def test_weekly_drift_does_not_depend_on_batches(spark, sf_dir, tmp_path, trigge
     got = windows.weekly_drift(spark, out, expected).orderBy("week_start").collect()
     assert all(r["n_reference"] == reference.count() for r in got)
     assert sum(r["n_current"] for r in got) == events.count()
+
+
+def test_badly_typed_json_is_quarantined_and_the_rest_scored(spark, sf_dir, tmp_path):
+    rows = faulty_requests(spark, sf_dir).drop("c_custkey", "snapshot_date", "churned", "churn_probability")
+    good = rows.filter("tenure_months >= 0 and latitude <= 90 and monthly_charges is not null and contract_type <> 'weekly'").limit(2)
+    first = json.loads(good.toJSON().first())
+    lines = [
+        first,
+        first | {"subscriber_id": "whole", "tenure_months": 12.0},
+        first | {"subscriber_id": "text", "tenure_months": "long"},
+        first | {"subscriber_id": "part", "tenure_months": 12.5},
+        first | {"subscriber_id": "huge", "tenure_months": 10**14},
+        first | {"subscriber_id": "list", "rsrq_avg": [1]},
+        first | {"subscriber_id": "nan", "rsrp_avg": float("nan")},
+        {k: v for k, v in first.items() if k != "latitude"} | {"subscriber_id": "gone"},
+    ]
+    files, ok, bad, offsets, scored, other = (str(tmp_path / n) for n in ("in", "good", "bad", "offsets", "scored", "other"))
+    text = [json.dumps(line) for line in lines] + ["{broken", "[]"]
+    spark.createDataFrame([(x,) for x in text], "value string").repartition(3).write.text(files)
+    stream = scoring.read_json_requests(spark, files, rows.schema, files_per_trigger=1)
+    scoring.quarantine_stream(stream, ok, bad, offsets).awaitTermination()
+    reasons = {(r["subscriber_id"], *r["errors"]) for r in spark.read.parquet(bad).collect()}
+    assert reasons >= {
+        ("text", "tenure_months: not a int"),
+        ("part", "tenure_months: not a int"),
+        ("huge", "tenure_months: not a int"),
+        ("list", "rsrq_avg: not a double"),
+        ("nan", "rsrp_avg: not a number"),
+        ("gone", "latitude: missing"),
+        (None, "request: not JSON"),
+    }
+    assert {r["subscriber_id"] for r in spark.read.parquet(ok).collect()} == {first["subscriber_id"], "whole"}
+    scoring.score_stream(scoring.read_json_requests(spark, files, rows.schema), scored, other).awaitTermination()
+    assert spark.read.parquet(scored).count() == 2
