@@ -19,6 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many underscores before each as it takes to be no column of `df`."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def store(df: DataFrame, name: str = "llm") -> DataFrame:
     """Write `df` into the shared folder and read it back: cuts lineage and outlives lost executors."""
     path = scratch_path(df.sparkSession, name)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellrisk.llm.common import bounded_batches, free_shuffles, release, store, utf8
+from cellrisk.llm.common import bounded_batches, free_shuffles, release, spare, store, utf8
 from cellrisk.llm.components import components
 from cellrisk.llm.hashing import shingles
 
@@ -348,8 +348,10 @@ def without_copies(docs: DataFrame) -> DataFrame:
     Rows without an id or without words stay as they are.
     """
     groups = near_groups(docs)
-    keep = groups.where("doc_id is not null").select(F.col("doc_id").alias("_id"), "n_shingles", "component_id")
-    keep = keep.groupBy("_id").agg(F.max("n_shingles").alias("_n"), F.min("component_id").alias("_c")).where("_n = 0 or _c = _id")
-    with_id = docs.where("doc_id is not null").join(keep.select("_id"), F.col("doc_id").cast("long") == F.col("_id")).drop("_id")
+    (key,) = spare(docs, "_id")
+    keep = groups.where("doc_id is not null").select(F.col("doc_id").alias(key), "n_shingles", "component_id")
+    keep = keep.groupBy(key).agg(F.max("n_shingles").alias("_n"), F.min("component_id").alias("_c"))
+    keep = keep.where((F.col("_n") == 0) | (F.col("_c") == F.col(key))).select(key)
+    with_id = docs.where("doc_id is not null").join(keep, F.col("doc_id").cast("long") == F.col(key)).drop(key)
     first = with_id.dropDuplicates(["doc_id"])
     return first.unionByName(docs.where("doc_id is null"))

@@ -8,7 +8,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellrisk.llm.common import bounded_batches
+from cellrisk.llm.common import bounded_batches, spare
 
 BUCKETS = 1 << 16
 GRAMS = (1, 2, 3)
@@ -171,4 +171,8 @@ def identify(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
 def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows whose language is known with a posterior of at least `least`, with the columns they came with."""
     model = fit(docs.where(~held_out()).select("lang", "text"))
-    return predict(docs, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
+    # Columns that predict would replace stand aside under names of their own.
+    clash = [c for c in docs.columns if c.lower() in ("lang_pred", "score")]
+    aside = dict(zip(clash, spare(docs, *clash)))
+    known = predict(docs.withColumnsRenamed(aside), model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return known.drop("lang_pred", "score").withColumnsRenamed({v: k for k, v in aside.items()}).select(*docs.columns)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cellrisk.llm.common import WORD, store, table
+from cellrisk.llm.common import WORD, spare, store, table
 
 #: Fractional part of the golden ratio, times 2^32: slot i lies at frac(i * ratio), in whole numbers.
 GOLDEN = 2654435769
@@ -149,7 +149,10 @@ def repeated(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int
     """
     sizes = mix(docs, weights, epochs).groupBy("doc_id", "source", "size").agg(F.avg("taken").alias("_taken"))
     times = F.when(F.col("size") > 0, F.round(F.col("_taken") / F.col("size"))).otherwise(1).cast("int")
-    known = store(sizes.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), times.alias("_times")), "mix")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (word_count() == F.col("_size"))
-    rows = docs.join(known.where("_times > 0"), same).withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    key, home, size, often, turn = spare(docs, "_id", "_source", "_size", "_times", "_pass")
+    known = store(
+        sizes.select(F.col("doc_id").alias(key), F.col("source").alias(home), F.col("size").alias(size), times.alias(often)), "mix"
+    )
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & F.col("source").eqNullSafe(F.col(home)) & (word_count() == F.col(size))
+    rows = docs.join(known.where(F.col(often) > 0), same).withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(often))))
     return rows.select(*docs.columns)
