@@ -206,7 +206,8 @@ def cell_rate_leave_one_out(spark, sf_dir):
       join subscribers on user_id = c_custkey),
     g as (select cell, period, count(*) as n_rows,
       {r("sum(case when event_type = 'error' then 1 else 0 end) / cast(count(*) as double)", 6)} as rate from e group by 1, 2)
-    select cell, cast(period as timestamp) as period, n_rows, rate, lag(rate) over (partition by cell order by period) as previous_rate from g""",
+    select g.cell, cast(g.period as timestamp) as period, g.n_rows, g.rate, b.rate as previous_rate
+    from g left join g b on b.cell = g.cell and b.period = g.period - interval 7 days""",
 )
 def cell_rate_lagged(spark, sf_dir):
     places = subscribers(spark, sf_dir, ["c_custkey", "latitude", "longitude"])

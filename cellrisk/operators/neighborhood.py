@@ -83,15 +83,19 @@ def with_cell_context(rows: DataFrame, base: DataFrame, cell: str, leave_one_out
     return joined.drop("_positives", "_labelled")
 
 
-def lagged_rate(df: DataFrame, cell: str, period: str, label: Column, name: str = "rate") -> DataFrame:
-    """Rate per cell and period next to the previous period's. The window runs over aggregated rows:
-    its partitions hold one row per period."""
+def lagged_rate(
+    df: DataFrame, cell: str, period: str, label: Column, name: str = "rate", step: str = "interval 7 days"
+) -> DataFrame:
+    """Rate per cell and period next to that of the period one `step` earlier, NULL where the cell had no rows then.
+
+    The window runs over aggregated rows: its partitions hold one row per period."""
     per_period = df.groupBy(cell, period).agg(
         F.count(F.lit(1)).alias("n_rows"),
         np_round(F.sum(label.cast("bigint")) / F.count(label), 6).alias(name),
     )
     order = Window.partitionBy(cell).orderBy(period)
-    return per_period.withColumn(f"previous_{name}", F.lag(name).over(order))
+    follows = F.lag(period).over(order) == F.col(period) - F.expr(step)
+    return per_period.withColumn(f"previous_{name}", F.when(follows, F.lag(name).over(order)))
 
 
 def poi_density(df: DataFrame, pois: DataFrame, resolution: int, shape: str = "grid") -> DataFrame:

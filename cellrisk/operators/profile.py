@@ -48,9 +48,11 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def null_counts(df: DataFrame) -> DataFrame:
-    """Columns that have NULL, with their counts; all columns in one pass."""
+    """Columns that have NULL or NaN, with their counts; all columns in one pass."""
     names = df.columns
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names])
+    real = {c for c, kind in df.dtypes if kind in ("double", "float")}
+    missing = {c: F.col(c).isNull() | F.isnan(c) if c in real else F.col(c).isNull() for c in names}
+    counts = df.agg(*[F.count_if(bad).alias(c) for c, bad in missing.items()])
     return counts.unpivot([], names, "column", "n_null").filter(F.col("n_null") > 0)
 
 

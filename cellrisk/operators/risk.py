@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cellrisk.functions.numeric import money_sum, np_round, steady_mean
 from cellrisk.functions.scoring import TIER_HIGH, TIERS, risk_tier, tier_color
+from cellrisk.operators.ordered import running
 from cellrisk.session import checkpointed
 
 MIN_CELL_SIZE = 10
@@ -149,7 +150,7 @@ def concentration(cells: DataFrame, rows: DataFrame, key: str, share: float = 0.
     """Share of all positives that sits in the top `share` of the kept cells, by rate.
 
     The cut is found from the rate distribution: cells are counted per distinct rate (few, rounded
-    values), and only the cells at the cutting rate are numbered.
+    values), and only the cells at the cutting rate are numbered, by key, in no single task.
     """
     cells = checkpointed(cells.select(key, "churn_rate", "n_churned"))
     by_rate = cells.groupBy("churn_rate").agg(
@@ -168,10 +169,10 @@ def concentration(cells: DataFrame, rows: DataFrame, key: str, share: float = 0.
     partial = steps.filter(
         (F.col("cells_before") < F.col("kept")) & (F.col("cells_before") + F.col("cells_at") > F.col("kept"))
     ).select("churn_rate", (F.col("kept") - F.col("cells_before")).alias("take"))
-    tie = Window.partitionBy("churn_rate").orderBy(key)
+    # One cutting rate at most; its cells are numbered by ranges of the key with carried offsets.
+    tied = cells.join(F.broadcast(partial), "churn_rate").withColumn("one", F.lit(1))
     partial_churned = (
-        cells.join(F.broadcast(partial), "churn_rate")
-        .withColumn("rn", F.row_number().over(tie))
+        running(tied, [F.col(key)], {"rn": "one"})
         .filter(F.col("rn") <= F.col("take"))
         .agg(F.coalesce(F.sum("n_churned"), F.lit(0)).alias("partial_churned"))
     )

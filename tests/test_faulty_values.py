@@ -1,11 +1,12 @@
 """NULL, NaN and large values: no invented cells, no perfect signal, no overflow; decisions on the raw probability."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from cellrisk.functions import geo
 from cellrisk.functions.numeric import clip, cut, steady_mean
 from cellrisk.functions.scoring import with_predictions
-from cellrisk.operators import requests
+from cellrisk.operators import neighborhood, profile, requests, risk
 from cellrisk.operators.quality import Suite
 
 NAN, INF = float("nan"), float("inf")
@@ -52,3 +53,22 @@ def test_nan_signal_is_refused(spark):
     got = [r[0] for r in df.select(requests.request_errors(df)).collect()]
     assert "rsrp_avg: not a number" in got[0] and "rsrq_avg: not a number" in got[1]
     assert not any("not a number" in x for x in got[2])
+
+
+def test_null_counts_count_nan(spark):
+    df = spark.createDataFrame([(float("nan"), 1), (None, 2), (1.0, None)], "x double, k int")
+    assert {r["column"]: r["n_null"] for r in profile.null_counts(df).collect()} == {"x": 2, "k": 1}
+
+
+def test_lag_is_of_the_period_before_not_of_the_row_before(spark):
+    weeks = [("a", "2024-01-01", 1), ("a", "2024-01-08", 0), ("a", "2024-01-22", 1)]
+    df = spark.createDataFrame(weeks, "cell string, day string, bad int").withColumn("week", F.col("day").cast("timestamp"))
+    found = neighborhood.lagged_rate(df, "cell", "week", F.col("bad")).orderBy("week").collect()
+    assert [r["previous_rate"] for r in found] == [None, 1.0, None]
+
+
+def test_concentration_with_all_cells_tied(spark):
+    cells = spark.range(1000).selectExpr("concat('c', lpad(id, 4, '0')) as cell", "1.0D as churn_rate", "cast(id % 7 as bigint) as n_churned")
+    rows = spark.range(5000).selectExpr("cast(1 as int) as churned")
+    found = risk.concentration(cells.repartition(9), rows, "cell").first()
+    assert (found["top_cells"], found["top_churned"]) == (200, sum(i % 7 for i in range(200)))
