@@ -18,7 +18,7 @@ HEADLINE = [
     "top_zones", "tier_breakdown", "concentration", "dq_report", "describe", "box_stats", "corr_matrix",
     "mutual_information", "psi", "classification_metrics", "threshold_sweep", "cumulative_gain", "gain_at_k",
     "cell_rate_leave_one_out", "cell_rate_lagged", "stratified_split", "tower_ingest", "score_stream",
-    "stream_weekly_kpi", "feature_build", "train_gbt",
+    "stream_weekly_kpi", "feature_build", "train_gbt", "mutual_information_neighbours", "sample_per_class", "json_quarantine",
 ]
 
 
