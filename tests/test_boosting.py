@@ -67,3 +67,42 @@ def test_halving_gives_more_rounds_to_the_better(spark, sf_dir):
     found = learn.search(table, "subscriber_id", trials, iterations=8, rounds=2)
     assert sorted(r[:2] for r in found) == sorted(trials) and found == learn.search(table, "subscriber_id", trials, iterations=8, rounds=2)
     assert found[0][3] >= found[1][3] and {r[0] for r in found[:1]} <= {2, 3} and all(r[2] <= 2 for r in found[2:])
+
+
+def test_margins_stored_on_the_way_change_nothing(rows, monkeypatch):
+    monkeypatch.setattr(boosting, "STORED_EVERY", 3)
+    known = rows.filter("not is_validation")
+    plain = GBTClassifier(featuresCol="features", labelCol="churned", weightCol="class_weight", maxIter=9, maxDepth=3, stepSize=0.1, seed=42).fit(known)
+    kept = boosting.spread(rows)
+    grown = boosting.Boosting(kept, depth=3)
+    grown.grow(1)
+    grown.grow(8)
+    assert grown.stored == 6 and scores(grown.model(9), rows) == pytest.approx(scores(plain, rows), abs=1e-9)
+    grown.close()
+    # The given table is shared with other ensembles and stays kept.
+    assert kept.storageLevel.useMemory and not grown.known.storageLevel.useMemory
+
+
+def test_rows_are_spread_over_all_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    uneven = spark.range(1000).repartition(cores + 1)
+    kept = boosting.spread(uneven)
+    sizes = [len(x) for x in kept.rdd.glom().collect()]
+    assert len(sizes) == 2 * cores and max(sizes) - min(sizes) <= cores + 1 and sum(sizes) == 1000
+    assert boosting.spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == 1
+
+
+def test_folds_are_trained_side_by_side(spark, sf_dir, monkeypatch):
+    import threading
+
+    from cellrisk.catalog.learning import rows as subscribers
+
+    both, trained = threading.Barrier(2, timeout=120), learn.train
+
+    def meet(*args, **settings):
+        both.wait()
+        return trained(*args, **settings)
+
+    monkeypatch.setattr(learn, "train", meet)
+    got = learn.cross_validate(subscribers(spark, sf_dir), "subscriber_id", k=2, iterations=2, depth=2)
+    assert {(r["metric"], r["folds"]) for r in got.collect()} == {("roc_auc", 2), ("pr_auc", 2), ("f1", 2)}
