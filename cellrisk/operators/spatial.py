@@ -349,11 +349,14 @@ def _meet(df: DataFrame, lists: DataFrame, levels: Sequence[int], lat: str, lon:
 
     A located row looks its cell up at every level in use, and exactly one look-up meets a list. A row
     without coordinates looks nothing up and keeps a NULL list. The table is read once.
+
+    A small file is one task's input, but its rows measure up to LONGEST_LIST sites each: rows are dealt out first.
     """
     place = F.col(lat).cast("double"), F.col(lon).cast("double")
     located = place[0].isNotNull() & place[1].isNotNull()
     tried = F.when(located, F.array(*[F.lit(k) for k in levels])).otherwise(F.array(F.lit(None).cast("int")))
-    keyed = df.select(
+    # A fixed number of parts: adaptive execution would merge rows of few bytes into one task again.
+    keyed = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))).select(
         "*",
         _point_key(*place).alias("_key"),
         *[c.alias(name) for name, c in zip(_OWN, _xyz(*place), strict=True)],

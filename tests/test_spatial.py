@@ -110,3 +110,12 @@ def test_by_kind(spark):
         d = brute(rows, sites[kinds == k]).min(axis=1)
         assert np.allclose([r[f"dist_to_{k}_km"] for r in out], d, atol=6e-4)
     assert len(out) == 100 and all(r["dist_to_c_km"] is None for r in out)
+
+
+def test_rows_of_one_part_are_measured_by_many_tasks(spark):
+    rows = [(-7 + i % 40 / 100, 106.4 + i // 40 / 100) for i in range(1200)]
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(rows)], "id int, latitude double, longitude double").coalesce(1)
+    sites = spark.createDataFrame([(f"T{i}", -7 + i / 100, 106.5) for i in range(40)], "tower_id string, latitude double, longitude double")
+    found = spatial.with_radius_counts(df, spatial.index_sites(sites, "tower_id"))
+    sizes = [len(p) for p in found.rdd.glom().collect()]
+    assert sum(sizes) == 1200 and max(sizes) < 600
