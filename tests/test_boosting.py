@@ -106,3 +106,44 @@ def test_folds_are_trained_side_by_side(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(learn, "train", meet)
     got = learn.cross_validate(subscribers(spark, sf_dir), "subscriber_id", k=2, iterations=2, depth=2)
     assert {(r["metric"], r["folds"]) for r in got.collect()} == {("roc_auc", 2), ("pr_auc", 2), ("f1", 2)}
+
+
+def test_draws_bins_and_deep_trees_are_those_of_the_library(rows, monkeypatch):
+    monkeypatch.setattr(boosting, "STORED_EVERY", 4)
+    known = rows.filter("not is_validation")
+    plain = GBTClassifier(
+        featuresCol="features", labelCol="churned", weightCol="class_weight", maxIter=10, maxDepth=5, stepSize=0.1, subsamplingRate=0.8, seed=42
+    ).fit(known)
+    grown = boosting.Boosting(rows, depth=5, subsample=0.8)
+    grown.grow(3)
+    grown.grow(7)
+    made = grown.model(10)
+    assert scores(made, rows) == pytest.approx(scores(plain, rows), abs=1e-9)
+    assert made.featureImportances.toArray() == pytest.approx(plain.featureImportances.toArray(), abs=1e-9)
+
+
+def test_further_rounds_cost_no_fit_each(rows, monkeypatch):
+    # A fit of the library turns all rows into its own form again.
+    monkeypatch.setattr(boosting.GBTClassifier, "fit", None)
+    tracker, context = rows.sparkSession.sparkContext.statusTracker(), rows.sparkSession.sparkContext
+    context.setJobGroup("rounds", "further rounds")
+    grown = boosting.Boosting(rows, depth=3)
+    grown.grow(2)
+    before = len(tracker.getJobIdsForGroup("rounds"))
+    grown.grow(6)
+    # A job for each level of each tree, and one look at the losses.
+    assert len(tracker.getJobIdsForGroup("rounds")) - before <= 6 * 3 + 1
+    context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_thresholds_of_many_rows_are_those_of_the_library(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(12_000, 2)).round(3)
+    data = [(int(a > b + e), float(1.0 + a % 1), False, float(a), float(b)) for (a, b), e in zip(x, rng.normal(size=len(x)))]
+    df = spark.createDataFrame(data, "churned int, class_weight double, is_validation boolean, a double, b double").repartition(3)
+    many = checkpointed(df.withColumn("features", array_to_vector(F.array("a", "b")))).persist()
+    plain = GBTClassifier(featuresCol="features", labelCol="churned", weightCol="class_weight", maxIter=2, maxDepth=4, seed=42).fit(many)
+    grown = boosting.Boosting(many, depth=4)
+    grown.grow(2)
+    assert scores(grown.model(2), many) == pytest.approx(scores(plain, many), abs=1e-9)
+    grown.close()
