@@ -108,8 +108,10 @@ def test_folds_are_trained_side_by_side(spark, sf_dir, monkeypatch):
     assert {(r["metric"], r["folds"]) for r in got.collect()} == {("roc_auc", 2), ("pr_auc", 2), ("f1", 2)}
 
 
-def test_draws_bins_and_deep_trees_are_those_of_the_library(rows, monkeypatch):
+@pytest.mark.parametrize("task", [1 << 14, 100])
+def test_draws_bins_and_deep_trees_are_those_of_the_library(rows, monkeypatch, task):
     monkeypatch.setattr(boosting, "STORED_EVERY", 4)
+    monkeypatch.setattr(boosting, "TASK", task)
     known = rows.filter("not is_validation")
     plain = GBTClassifier(
         featuresCol="features", labelCol="churned", weightCol="class_weight", maxIter=10, maxDepth=5, stepSize=0.1, subsamplingRate=0.8, seed=42
