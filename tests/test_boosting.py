@@ -138,14 +138,16 @@ def test_further_rounds_cost_no_fit_each(rows, monkeypatch):
     context.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_thresholds_of_many_rows_are_those_of_the_library(spark):
+@pytest.mark.parametrize("task", [1 << 14, 1000])
+def test_thresholds_of_many_rows_are_those_of_the_library(spark, monkeypatch, task):
+    monkeypatch.setattr(boosting, "TASK", task)
     rng = np.random.default_rng(5)
     x = rng.normal(size=(12_000, 2)).round(3)
     data = [(int(a > b + e), float(1.0 + a % 1), False, float(a), float(b)) for (a, b), e in zip(x, rng.normal(size=len(x)))]
     df = spark.createDataFrame(data, "churned int, class_weight double, is_validation boolean, a double, b double").repartition(3)
     many = checkpointed(df.withColumn("features", array_to_vector(F.array("a", "b")))).persist()
-    plain = GBTClassifier(featuresCol="features", labelCol="churned", weightCol="class_weight", maxIter=2, maxDepth=4, seed=42).fit(many)
-    grown = boosting.Boosting(many, depth=4)
+    plain = GBTClassifier(featuresCol="features", labelCol="churned", weightCol="class_weight", maxIter=2, maxDepth=4, subsamplingRate=0.8, seed=42).fit(many)
+    grown = boosting.Boosting(many, depth=4, subsample=0.8)
     grown.grow(2)
     assert scores(grown.model(2), many) == pytest.approx(scores(plain, many), abs=1e-9)
     grown.close()
