@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellrisk.llm.common import bounded_batches, store
+from cellrisk.llm.common import bounded_batches, narrowed, store
 from cellrisk.llm.hashing import LETTERS, mixed, words
 
 BUCKETS = 1 << 18
@@ -159,7 +159,10 @@ def severity_model(docs: DataFrame, labels: DataFrame, most_rows: int = FITTED_R
     one kind of rows only, nothing is toxic, or everything.
     """
     flags = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).alias("_toxic"))
-    joined = docs.where("text is not null").select("doc_id", "text").join(flags, "doc_id")
+    flags = store(flags, "flags")
+    # Texts without a label stay where they are; the others meet their labels in one shuffle at any size.
+    texts = narrowed(docs.where("text is not null").select("doc_id", "text"), "doc_id", flags, "doc_id", flags.count())
+    joined = texts.join(flags.hint("merge"), "doc_id")
     known = store(joined.withColumn("_row", F.monotonically_increasing_id()), "toxic")
     sizes = {r[0]: r[1] for r in known.groupBy("_toxic").count().collect()}
     marked, plain = sizes.get(True, 0), sizes.get(False, 0)

@@ -7,9 +7,10 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import brute
-from cellrisk.llm import bpe, catalog, hamming, jaccard, language, lattice, mixing, secrets, suffixes, tokens, toxicity
+from cellrisk.llm import bpe, catalog, common, hamming, jaccard, language, lattice, mixing, secrets, suffixes, tokens, toxicity
 from cellrisk.llm.components import components
 from cellrisk.session import scratch_path
 
@@ -226,6 +227,27 @@ def test_toxicity_of_awkward_texts(spark, docs, none):
     assert toxicity.grade_texts(none, toxicity.severity_model(none, labels)).count() == 0
 
 
+@pytest.mark.parametrize("words, passed", [(1 << 20, 2200), (1, 9001)])
+def test_narrowed_rows_hold_all_that_are_asked_for(spark, monkeypatch, words, passed):
+    monkeypatch.setattr(common, "MARKS", words)
+    none = spark.sql("select cast(null as bigint)")
+    ids = spark.range(0, 3000, 3).union(none).toDF("i")
+    rows = spark.range(9000).toDF("_word").union(none).selectExpr("_word", "_word as _bits")
+    got = common.narrowed(rows, "_word", ids, "i", 1001)
+    assert got.columns == rows.columns
+    assert got.count() <= passed
+    assert got.join(ids, F.col("_word").eqNullSafe(F.col("i"))).count() == 1001
+
+
+def test_texts_without_a_label_are_not_shuffled(spark, monkeypatch):
+    docs = spark.range(4000).selectExpr("id as doc_id", "concat('word ', id % 3) as text")
+    labels = spark.range(0, 4000, 400).selectExpr("id as doc_id", "cast(id % 800 = 0 as int) as toxic")
+    kept, met = toxicity.narrowed, []
+    monkeypatch.setattr(toxicity, "narrowed", lambda *args: met.append(kept(*args)) or met[-1])
+    toxicity.severity_model(docs, labels)
+    assert 10 <= met[0].count() < 1000
+
+
 def test_shared_weights_recover_ordered_grades():
     rng = np.random.default_rng(6)
     n = [rng.integers(0, 6, 1).astype(float) for _ in range(600)]
