@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellrisk.llm.common import bounded_batches, free_shuffles, release, spare, store, utf8
+from cellrisk.llm.common import bounded_batches, free_shuffles, narrowed, release, spare, store, utf8
 from cellrisk.llm.components import components
 from cellrisk.llm.hashing import shingles
 
@@ -25,6 +25,8 @@ RUN = 1 << 22
 PARITY = 2048
 #: Rounds in which a region's pivot is a document; what is then left of a region is compared pair by pair.
 ROUNDS = 3
+#: Members of a ball, about, that a set beyond it is compared with at first; with the others only if that connects it nowhere.
+TRIES = 8
 #: Sets that are compared with one set in one task.
 BLOCK = 256
 
@@ -209,8 +211,8 @@ def _measured(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     """(a, b, common, whole): sizes of intersection and union of each pair's sets.
 
     Pairs are dealt in blocks of one b and about `BLOCK` of its a. Only sets that stand in a pair leave their text: that of
-    b once per block, that of a once per pair, and each block meets in one task, b first. The ids asked for are few where
-    bits have ruled out most pairs; then they are broadcast (Spark checks their size), else texts are shuffled to them.
+    b once per block, that of a once per pair, and each block meets in one task, b first. Texts that no pair asks for are
+    left out before texts and ids meet (`narrowed`), so what is shuffled follows the pairs, not the corpus.
     """
     spark = docs.sparkSession
     blocks = pairs.groupBy("b").agg(F.ceil(F.count("*") / BLOCK).alias("_of"))
@@ -218,6 +220,9 @@ def _measured(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     asked = cut.select("b", "block", F.lit(1).alias("side"), F.col("a").alias("rid"))
     asked = asked.unionByName(cut.select("b", "block", F.lit(0).alias("side"), F.col("b").alias("rid")).distinct())
     asked = store(asked.join(reps.select("rid", "doc_id", "fp"), "rid"), "asked")
+    count = asked.count()
+    if not count:
+        return spark.createDataFrame([], "a long, b long, common long, whole long")
     keys = ["b", "block", "side", "rid"]
 
     def members(batches):
@@ -252,6 +257,7 @@ def _measured(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
 
     bounded_batches(spark)
     text = docs.select(F.col("doc_id").cast("long").alias("_id"), utf8().alias("_bytes"))
+    text = narrowed(text, "_id", asked, "doc_id", count)
     rows = text.join(asked, F.col("_id").eqNullSafe(F.col("doc_id"))).select("_bytes", "fp", *keys)
     sets = rows.mapInArrow(members, "b long, block int, side int, rid long, members array<long>")
     return sets.repartition("b", "block").sortWithinPartitions(*keys).mapInArrow(measure, "a long, b long, common long, whole long")
@@ -269,18 +275,35 @@ def _possible(x: str, y: str) -> Column:
     return (least * 100 >= most * SIMILAR) & (rest * (100 + SIMILAR) >= (col(x, "n") + col(y, "n")) * SIMILAR)
 
 
+def _near(outside: DataFrame, balls: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a member of a ball and a set beyond it that may be similar by their distances to the ball's pivot."""
+    window = F.expr("4 * (x.common * y.whole - y.common * x.whole) <= x.whole * y.whole")
+    same = F.expr("x.u = y.u and x.pivot = y.pivot")
+    near = outside.alias("y").join(balls.alias("x"), same).where(window & _possible("x", "y"))
+    return near.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct()
+
+
+def _some(balls: DataFrame) -> DataFrame:
+    """About `TRIES` members of each ball, others in each region that a ball stands in; small balls stay whole."""
+    sizes = balls.groupBy("u").agg(F.expr(f"shiftleft(1L, int(greatest(0, ceil(log2(count(*) / {TRIES})))))").alias("_of"))
+    return balls.join(sizes, "u").where("pmod(xxhash64(rid, u), _of) = 0").drop("_of")
+
+
 def _star_links(docs: DataFrame, reps: DataFrame, rows: DataFrame) -> list[DataFrame]:
     """Links (a, b) between representatives by their regions `rows`: enough to connect all similar ones, not every similar pair.
 
     Within a region the pivot is a document p. Members within the distance t = 0.25 of p link to it: its ball. A member y
     beyond it can be similar to some x of the ball only if d(y, p) - d(x, p) <= t (triangle inequality), so only those
-    up to 2t away, and not connected with p already, are compared with the ball, and only within that window. What lies
+    up to 2t away are compared with the ball, and only within that window: at first with some of the ball. What lies
     outside the ball is joined among itself in the next round, with a new pivot. Distances of more than 2t are not needed,
-    so pairs that sizes or parity bits show to be that far apart are not measured.
+    so pairs that sizes or parity bits show to be that far apart are not measured. After the rounds the sets that are still
+    not connected with the pivot of a ball are compared with all of it, and what no ball took is compared pair by pair.
     """
     spark = docs.sparkSession
     free_shuffles(spark)
     found: list[DataFrame] = []
+    rounds: list[DataFrame] = []
+    outside = F.expr("2 * common >= whole") & ~_linked()
     for _ in range(ROUNDS):
         star = rows.where("rid != pivot").select(F.col("rid").alias("a"), F.col("pivot").alias("b")).distinct()
         star = store(_within(star, reps, 2 * SIMILAR - 100), "stars")
@@ -290,26 +313,31 @@ def _star_links(docs: DataFrame, reps: DataFrame, rows: DataFrame) -> list[DataF
         far = known.select(F.col("a").alias("rid"), F.col("b").alias("pivot"), "common", "whole")
         placed = rows.where("rid != pivot").join(far, ["rid", "pivot"], "left").fillna({"common": 0, "whole": 1})
         placed = store(placed, "regions")
-        roots = components(_union(found))
-        outside = placed.where(~_linked())
-        own, its = roots.select(F.col("node").alias("rid"), F.col("root").alias("_r")), roots.select(F.col("node").alias("pivot"), F.col("root").alias("_p"))
-        apart = outside.where("2 * common >= whole").join(own, "rid", "left").join(its, "pivot", "left")
-        apart = apart.where("coalesce(_r, rid) != coalesce(_p, pivot)").drop("_r", "_p")
-        window = F.expr("4 * (x.common * y.whole - y.common * x.whole) <= x.whole * y.whole")
-        near = apart.alias("y").join(placed.where(_linked()).alias("x"), "u").where(window & _possible("x", "y"))
-        edge = store(_within(near.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct(), reps, SIMILAR), "edges")
+        rounds.append(placed.where("2 * common >= whole"))
+        some = _near(placed.where(outside), _some(placed.where(_linked())))
+        edge = store(_within(some, reps, SIMILAR), "edges")
         found.append(store(_measured(edge, docs, reps).where(_linked()).select("a", "b"), "edges"))
-        again = outside.groupBy("u").agg(F.count("*").alias("_n"), F.min("rid").alias("_new")).where("_n > 1")
-        after = store(outside.join(again, "u").select("u", "rid", "n", "at", F.col("_new").alias("pivot")), "regions")
+        beyond = placed.where(~_linked())
+        again = beyond.groupBy("u").agg(F.count("*").alias("_n"), F.min("rid").alias("_new")).where("_n > 1")
+        after = store(beyond.join(again, "u").select("u", "rid", "n", "at", F.col("_new").alias("pivot")), "regions")
         release(rows)
-        release(placed)
         free_shuffles(spark)
         rows = after
         if rows.isEmpty():
-            return found
-    left = rows.alias("x").join(rows.alias("y"), "u").where("x.rid < y.rid").where(_possible("x", "y"))
-    left = store(_within(left.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct(), reps, SIMILAR), "edges")
-    return [*found, store(_measured(left, docs, reps).where(_linked()).select("a", "b"), "edges")]
+            break
+    roots = components(_union(found))
+    root = lambda node, name: roots.select(F.col("node").alias(node), F.col("root").alias(name))
+    placed = _union(rounds)
+    apart = placed.where(outside).join(root("rid", "_r"), "rid", "left").join(root("pivot", "_p"), "pivot", "left")
+    apart = apart.where("coalesce(_r, rid) != coalesce(_p, pivot)").drop("_r", "_p")
+    left = rows.join(root("rid", "_r"), "rid", "left").withColumn("_r", F.coalesce("_r", "rid"))
+    left = left.alias("x").join(left.alias("y"), "u").where("x.rid < y.rid and x._r != y._r").where(_possible("x", "y"))
+    last = left.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).unionByName(_near(apart, placed.where(_linked())))
+    edge = store(_within(last.distinct(), reps, SIMILAR), "edges")
+    found.append(store(_measured(edge, docs, reps).where(_linked()).select("a", "b"), "edges"))
+    for frame in (*rounds, rows):
+        release(frame)
+    return found
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

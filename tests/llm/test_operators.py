@@ -121,6 +121,22 @@ def test_groups_of_chained_copies(spark):
     assert counted(jaccard.near_groups(df), "doc_id", "n_shingles", "component_id") == collections.Counter(brute.near_groups(rows))
 
 
+def test_a_large_group_is_not_compared_in_full(spark, monkeypatch):
+    """Copies with one, two or no words of 100 changed: those with two are similar only to those with none."""
+    base, draw, texts = [f"w{i}" for i in range(100)], np.random.default_rng(5), []
+    for i in range(1200):
+        words = list(base)
+        for at in draw.choice(100, size=draw.choice(3, p=[0.3, 0.3, 0.4]), replace=False):
+            words[at] = f"x{i}y{at}"
+        texts.append((i, " ".join(words)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    measured, pairs = jaccard._measured, []
+    monkeypatch.setattr(jaccard, "_measured", lambda p, *rest: pairs.append(p.count()) or measured(p, *rest))
+    got = {r["component_id"] for r in jaccard.near_groups(docs).collect()}
+    assert got == {0}
+    assert sum(pairs) < 100 * len(texts)
+
+
 def test_groups_of_all_documents(spark, sf_dir, whole):
     got = counted(catalog.op4_ngram_jaccard(spark, sf_dir), "doc_id", "n_shingles", "component_id")
     assert got == collections.Counter(brute.near_groups(whole))
