@@ -161,16 +161,15 @@ def severity_model(docs: DataFrame, labels: DataFrame, most_rows: int = FITTED_R
     flags = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).alias("_toxic"))
     flags = store(flags, "flags")
     # Texts without a label stay where they are; the others meet their labels in one shuffle at any size.
-    texts = narrowed(docs.where("text is not null").select("doc_id", "text"), "doc_id", flags, "doc_id", flags.count())
-    joined = texts.join(flags.hint("merge"), "doc_id")
-    known = store(joined.withColumn("_row", F.monotonically_increasing_id()), "toxic")
+    texts = docs.where("text is not null").select("doc_id", "text", F.monotonically_increasing_id().alias("_row"))
+    known = store(narrowed(texts, "doc_id", flags, "doc_id", flags.count()).join(flags.hint("merge"), "doc_id"), "toxic")
     sizes = {r[0]: r[1] for r in known.groupBy("_toxic").count().collect()}
     marked, plain = sizes.get(True, 0), sizes.get(False, 0)
     chosen = choose(feature_counts(known, "_toxic"), marked, plain)
     # Numbers of rows are sorted, not texts; those picked are `most_rows` at most.
     picked = known.select("doc_id", "_row").orderBy(F.xxhash64("doc_id"), "doc_id", "_row").limit(most_rows).select("_row")
     sample = known.join(F.broadcast(picked), "_row", "left_semi")
-    got = sparse_rows(sample, ["doc_id", "_toxic"], chosen).toPandas()
+    got = sparse_rows(sample, ["_row", "_toxic"], chosen).toPandas().sort_values("_row")
     toxic = got["_toxic"].to_numpy(dtype=bool)
     density = np.array([sum(x) for x in got["n"]], dtype=float) / np.maximum(got["n_words"].to_numpy(dtype=float), 1)
     middle = np.median(density[toxic]) if toxic.any() else 0.0
