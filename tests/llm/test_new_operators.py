@@ -235,6 +235,12 @@ def test_alignment_in_blocks_of_any_size(spark, monkeypatch, both, block):
     assert collections.Counter(map(tuple, got.collect())) == collections.Counter(plain_alignment(rows, *both))
 
 
+def test_blocks_end_before_a_task_holds_much_text(spark):
+    df = spark.range(60).selectExpr("id as doc_id", "repeat('alpha beta ', 10000) as text").coalesce(1)
+    blocks = align._blocks(df, TOKENIZER, MODEL, ["doc_id"], "text")
+    assert blocks.selectExpr("size(texts) as n").agg({"n": "max"}).first()[0] <= 20
+
+
 def test_slices_join_to_the_ids(docs, rows, both):
     for r in align.align(docs, TOKENIZER, MODEL).collect():
         assert (r["a_cuts"][-1:], r["b_cuts"][-1:]) == ([len(r["a_ids"])] if r["a_ids"] else [], [len(r["b_ids"])] if r["b_ids"] else [])
