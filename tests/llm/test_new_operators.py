@@ -4,6 +4,7 @@ import collections
 import hashlib
 import os
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -251,3 +252,33 @@ def test_alignment_of_all_documents(spark, sf_dir, both):
     docs = [(r[0], r[1]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     got = catalog.op13_token_alignment(spark, sf_dir).select(*FIGURES)
     assert collections.Counter(map(tuple, got.collect())) == collections.Counter(plain_alignment(docs, *both))
+
+
+def test_words_are_aligned_once(both):
+    coder = chunks.Coder(chunks.specification(TOKENIZER, special=False))
+    with open(MODEL, "rb") as file:
+        words = align.Words(coder, align.PieceCoder(file.read()))
+    plain, coded = coder.plain, []
+    coder.plain = lambda text: coded.append(text) or plain(text)
+    words.of(["alpha beta alpha", "beta  gamma\n  alpha ", None, ""])
+    found, some = words.of(["alpha beta", "gamma\n delta"])
+    assert coded == [" alpha", " beta", "  gamma\n  alpha", " ", " gamma\n delta"]
+    assert [x.tolist() for x in some] == [[0, 1], [2]] and len(found) == 3
+
+
+def test_words_split_only_where_both_tokenizers_do(both):
+    spaces = [c for c in map(chr, range(0x110000)) if regex.match(r"\s", c)]
+    assert all(re.match(r"\s", c) for c in spaces)
+    coder = chunks.Coder(chunks.specification(TOKENIZER, special=False))
+    with open(MODEL, "rb") as file:
+        words = align.Words(coder, align.PieceCoder(file.read()))
+    rng = random.Random(5)
+    parts = [" ", "  ", "\n", "\t ", " ", "　 ", "'s", "don't", "12", "漢字", "é", "!!", "ab", "A b", "\x1c", "ﬁ", "\U0001f600", "<unk>", "▁"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(1, 14))) for _ in range(1500)]
+    found, some = words.of(texts)
+    for text, mine in zip(texts, some):
+        a, b = align.both_ids(text, coder, words.pieces)
+        want = align.aligned([(a, b)], coder.sizes, words.pieces.sizes)[0]
+        got = [found[i] for i in mine]
+        assert tuple(map(sum, zip(*(x[:3] for x in got)))) == want[:3] or not got and not a
+        assert b"".join(x[3] for x in got) == want[3] and b"".join(x[4] for x in got) == want[4]
