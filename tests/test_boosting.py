@@ -151,3 +151,50 @@ def test_thresholds_of_many_rows_are_those_of_the_library(spark, monkeypatch, ta
     grown.grow(2)
     assert scores(grown.model(2), many) == pytest.approx(scores(plain, many), abs=1e-9)
     grown.close()
+
+
+def test_codes_of_several_features_have_the_sums_of_each():
+    rng = np.random.default_rng(3)
+    sizes = [2, 32, 1, 2, 7, 2, 32, 3, 2]
+    bins, n = [rng.integers(0, s, 5000) for s in sizes], 5000
+    block = rng.choice([-1.0, 1.0], n), rng.choice([1.0, 4.5], n), rng.normal(size=n), rng.integers(0, 4, n)
+    tree, found = boosting.grow_tree(lambda *_: [], 0), []
+    for most in (1, 64, 256):
+        coding = boosting.Coding(sizes, most)
+        blocks = [(coding.codes(bins), *block)]
+        sums = lambda tree, slots, known: boosting.level_sums(blocks, tree, slots, len(known), coding, True, 1)  # noqa: B023, E731
+        grown = boosting.grow_tree(lambda *level: boosting.best_splits(sums(*level), level[2], sizes), 3)  # noqa: B023
+        found.append((len(coding.groups), sums(tree, np.zeros(1, int), [None]), grown, grown.nodes(blocks[0][0], coding)))
+    assert [f[0] for f in found] == [9, 4, 3]
+    for _, sums, grown, nodes in found[1:]:
+        assert sums == pytest.approx(found[0][1], rel=1e-12, abs=1e-9)
+        assert grown.feature.tolist() == found[0][2].feature.tolist() and grown.bin.tolist() == found[0][2].bin.tolist()
+        assert (nodes == found[0][3]).all()
+
+
+def test_ensembles_side_by_side_take_a_task_each(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "TASK", 500)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(4000, 3))
+    y = (x[:, 0] + x[:, 1] * x[:, 2] + rng.normal(size=4000) > 0).astype(int)
+    data = [(int(a), 1.0 + i % 2, i % 7 == 0, *map(float, b)) for i, (a, b) in enumerate(zip(y, x))]
+    df = spark.createDataFrame(data, "churned int, class_weight double, is_validation boolean, a double, b double, c double").repartition(8)
+    kept = checkpointed(df.withColumn("features", array_to_vector(F.array("a", "b", "c")))).persist()
+    alone, beside = (boosting.Boosting(kept, depth=3, subsample=0.8, beside=n) for n in (1, spark.sparkContext.defaultParallelism))
+    assert alone.binned.tasks > 1 and beside.binned.tasks == 1
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    context.setJobGroup("beside", "rounds side by side")
+    beside.grow(2)
+    before = len(tracker.getJobIdsForGroup("beside"))
+    beside.grow(6)
+    assert len(tracker.getJobIdsForGroup("beside")) - before <= 2
+    context.setLocalProperty("spark.jobGroup.id", None)
+    alone.grow(8)
+    assert scores(alone.model(8), kept) == pytest.approx(scores(beside.model(8), kept), abs=1e-9)
+    assert alone.losses == pytest.approx(beside.losses, abs=1e-12)
+    # More rows than one task should hold are dealt to several again.
+    monkeypatch.setattr(boosting, "MOST", 1000)
+    many = boosting.Binned(kept, beside=spark.sparkContext.defaultParallelism)
+    assert many.tasks == 4
+    for run in (alone, beside, many):
+        run.close()
