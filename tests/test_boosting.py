@@ -153,6 +153,17 @@ def test_thresholds_of_many_rows_are_those_of_the_library(spark, monkeypatch, ta
     grown.close()
 
 
+def test_every_trial_of_a_search_grows_whole(spark, sf_dir):
+    from cellrisk.catalog.learning import rows as subscribers
+
+    table = checkpointed(subscribers(spark, sf_dir))
+    trials = [(1, 0.001), (2, 0.002), (3, 0.002), (1, 0.0001)]
+    found = learn.search(table, "subscriber_id", trials, iterations=12)
+    # Steps so small lower the loss in each round: none is left behind after the first eight.
+    assert sorted(r[:3] for r in found) == sorted((*t, 12) for t in trials)
+    assert [r[3] for r in found] == sorted((r[3] for r in found), reverse=True)
+
+
 def test_codes_of_several_features_have_the_sums_of_each():
     rng = np.random.default_rng(3)
     sizes = [2, 32, 1, 2, 7, 2, 32, 3, 2]
