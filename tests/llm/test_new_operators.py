@@ -282,3 +282,30 @@ def test_words_split_only_where_both_tokenizers_do(both):
         got = [found[i] for i in mine]
         assert tuple(map(sum, zip(*(x[:3] for x in got)))) == want[:3] or not got and not a
         assert b"".join(x[3] for x in got) == want[3] and b"".join(x[4] for x in got) == want[4]
+
+
+def test_new_words_are_coded_together_and_no_pieces_are_kept(both):
+    coder = chunks.Coder(chunks.specification(TOKENIZER, special=False))
+    with open(MODEL, "rb") as file:
+        words = align.Words(coder, align.PieceCoder(file.read()))
+    texts = [
+        "plain words, all of them new;", "tail of a text\n", "two  spaces \n  and a line\n\n", "   ", " ", "don't we'll  'tis", "größe naïve — 東京 ok",
+        "<|endoftext|> and <s> as text", "tab\tand other   spaces", "x" * 300 + " long", "a͸b \U0001fae8 late", "1234 5 6,7.8",
+    ]
+    asked = []
+    plain = coder.plain
+    coder.plain = lambda text: asked.append(text) or plain(text)
+    found, some = words.of(texts)
+    fresh = chunks.Coder(chunks.specification(TOKENIZER, special=False))
+    for text, of in zip(texts, some):
+        a, b = align.both_ids(text, fresh, words.pieces)
+        want = align.aligned([(a, b)], fresh.sizes, words.pieces.sizes)[0] if a else align.NOTHING
+        entries = [found[i] for i in of.tolist()]
+        assert tuple(sum(e[k] for e in entries) for k in range(3)) == want[:3], text
+        assert tuple(b"".join(e[k] for e in entries) for k in (3, 4)) == want[3:], text
+    # What a worker remembers are words; ten thousand more of them add nothing to the pieces, and one odd word sends few of them one by one.
+    asked.clear()
+    words.of([" ".join(f"word{i:x}q" for i in range(10_000))])
+    assert not asked and len(coder.pieces) < 100 and len(words.known) > 10_000
+    words.of([" ".join(f"more{i:x}q" for i in range(2_000)) + " \ufb01n"])
+    assert len(asked) <= 2 * align.FEW
